@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .decontamination import op3_decontamination
 from .line_dedup import OP5_SQL, op5_line_dedup
 from .packing import op4_packing
 from .quality_rules import OP2_SQL, op2_quality_rules
@@ -9,6 +10,7 @@ from .secret_scan import OP10_SQL, op10_secret_scan
 
 QUERIES = {
     "op2_quality_rules": op2_quality_rules,
+    "op3_decontamination": op3_decontamination,
     "op4_packing": op4_packing,
     "op5_line_dedup": op5_line_dedup,
     "op10_secret_scan": op10_secret_scan,
