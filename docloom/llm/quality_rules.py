@@ -81,7 +81,8 @@ def fit(counted: DataFrame, rounds: int = ROUNDS) -> dict:
     Each round is one aggregation over the histogram of joint votes, which has 3 ** len(RULES) rows at most; it returns three rows a rule.
     """
     names = [f"v_{r[0]}" for r in RULES]
-    table = votes(counted).filter("n_words > 0").groupBy(*names).agg(F.count(F.lit(1)).alias("n")).coalesce(1).checkpoint()
+    # the filter stands behind the checkpoint: pushed below, it would compute all counts in itself
+    table = votes(counted).groupBy(*names, (F.col("n_words") > 0).alias("words")).agg(F.count(F.lit(1)).alias("n")).coalesce(1).checkpoint().filter("words")
     any_bad = F.least(*[F.abs(F.col(c)) for c in names]) == 0
     post, model = F.when(any_bad, WITH_BAD).otherwise(WITHOUT_BAD), {}
     for _ in range(rounds):
@@ -123,7 +124,8 @@ def judge(counted: DataFrame, model: dict) -> DataFrame:
 def keep_good(docs: DataFrame) -> DataFrame:
     """docs without those that are rejected; counts are computed for the fit and again for the filter, so that no text is shuffled."""
     judged = judge(counts(docs), fit(counts(docs.select("text"))))
-    return judged.filter("kept").select(*docs.columns)
+    # a row number is not deterministic, so the filter isn't pushed below the counts, where each mention of a count would compute it anew
+    return judged.withColumn("_row", F.monotonically_increasing_id()).filter("kept AND _row >= 0").select(*docs.columns)
 
 
 def op2_quality_rules(spark, sf_dir: str) -> DataFrame:
