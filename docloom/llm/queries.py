@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .chunk_dedup import op1_chunk_dedup
 from .decontamination import op3_decontamination
 from .jaccard_join import op9_jaccard_join
 from .line_dedup import OP5_SQL, op5_line_dedup
@@ -10,6 +11,7 @@ from .quality_rules import OP2_SQL, op2_quality_rules
 from .secret_scan import OP10_SQL, op10_secret_scan
 
 QUERIES = {
+    "op1_chunk_dedup": op1_chunk_dedup,
     "op2_quality_rules": op2_quality_rules,
     "op3_decontamination": op3_decontamination,
     "op4_packing": op4_packing,
