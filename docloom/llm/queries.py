@@ -9,6 +9,7 @@ from .line_dedup import OP5_SQL, op5_line_dedup
 from .packing import op4_packing
 from .quality_rules import OP2_SQL, op2_quality_rules
 from .secret_scan import OP10_SQL, op10_secret_scan
+from .suffix_dedup import op8_suffix_dedup
 
 QUERIES = {
     "op1_chunk_dedup": op1_chunk_dedup,
@@ -16,6 +17,7 @@ QUERIES = {
     "op3_decontamination": op3_decontamination,
     "op4_packing": op4_packing,
     "op5_line_dedup": op5_line_dedup,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_secret_scan": op10_secret_scan,
 }
