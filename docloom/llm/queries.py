@@ -5,6 +5,7 @@ from __future__ import annotations
 from .chunk_dedup import op1_chunk_dedup
 from .decontamination import op3_decontamination
 from .jaccard_join import op9_jaccard_join
+from .kneser_ney import op7_kneser_ney
 from .line_dedup import OP5_SQL, op5_line_dedup
 from .packing import op4_packing
 from .quality_rules import OP2_SQL, op2_quality_rules
@@ -17,6 +18,7 @@ QUERIES = {
     "op3_decontamination": op3_decontamination,
     "op4_packing": op4_packing,
     "op5_line_dedup": op5_line_dedup,
+    "op7_kneser_ney": op7_kneser_ney,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_secret_scan": op10_secret_scan,
