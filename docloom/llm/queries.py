@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .chunk_dedup import op1_chunk_dedup
 from .decontamination import op3_decontamination
+from .html_extract import op6_html_extract
 from .jaccard_join import op9_jaccard_join
 from .kneser_ney import op7_kneser_ney
 from .line_dedup import OP5_SQL, op5_line_dedup
@@ -18,6 +19,7 @@ QUERIES = {
     "op3_decontamination": op3_decontamination,
     "op4_packing": op4_packing,
     "op5_line_dedup": op5_line_dedup,
+    "op6_html_extract": op6_html_extract,
     "op7_kneser_ney": op7_kneser_ney,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_jaccard_join": op9_jaccard_join,
