@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from docloom.plans.registry import query, table
 
@@ -31,7 +32,7 @@ def domains(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", extension(name).alias("ext"), domain(name).alias("domain"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def decode(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """Text of bytes: by byte-order mark, else UTF-8, else the Korean code page; null where none fits. Nothing is replaced."""
 

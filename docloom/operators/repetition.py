@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from docloom.plans.registry import query, table
 
@@ -43,7 +44,7 @@ def short_text(spark, sf_dir):
     return t.filter((F.col("top") * 3 / F.col("k") >= 0.5) | (F.col("types") / F.col("k") <= 0.45)).select("doc_id", "top", "types")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def compression_ratio(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """Compressed by uncompressed bytes; null and empty texts are 1."""
     for s in parts:

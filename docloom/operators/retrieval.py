@@ -9,6 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 
 from docloom.plans.registry import query, table
 
@@ -43,7 +44,7 @@ def nearest(spark, sf_dir, k=5, every=100):
 def hashed_vectors(size: int = 64):
     """Each word's digest names a place and a sign; counts are added up and brought to length one."""
 
-    @F.pandas_udf("array<double>")
+    @F.pandas_udf(ArrayType(DoubleType()))
     def embed(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         places: dict[str, tuple[int, float]] = {}
         for s in parts:
