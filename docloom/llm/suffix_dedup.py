@@ -27,7 +27,6 @@ LENGTH, GRAM = 200, 48
 SORT_BYTES, PIECE = 1 << 20, 1 << 22
 #: An anchor with more distinct contexts is dealt out by narrower contexts, of BLOCK strings, keyed by all that these have in common.
 HOT, BLOCK = 5000, 8
-BROADCAST_DOCS = 1_000_000
 _POS = 24
 
 
@@ -255,37 +254,45 @@ def repeated(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", hot: i
     return places.groupBy("doc").agg(F.sort_array(F.collect_set(F.struct("s", "e"))).alias("starts"))
 
 
-def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Ranges of starts to spans of bytes."""
     for batch in batches:
         out = []
-        raws = batch.column(1).to_pylist()
-        for doc, raw, starts in zip(batch.column(0).to_pylist(), raws, batch.column(2).to_pylist(), strict=True):
-            raw = raw or b""
+        for starts in batch.column(1).to_pylist():
             spans: list[list[int]] = []
-            for x in starts or ():
+            for x in starts:
                 s, e = x["s"], x["e"] - 1 + LENGTH
                 if spans and s <= spans[-1][1]:
                     spans[-1][1] = max(spans[-1][1], e)
                 else:
                     spans.append([s, e])
+            out.append(([s for s, _ in spans], [e for _, e in spans]))
+        kind = pa.list_(pa.int64())
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x for x, _ in out], kind), pa.array([x for _, x in out], kind)], names=["doc", "span_starts", "span_ends"])
+
+
+def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        out = []
+        for doc, raw, starts, ends in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            raw, starts, ends = raw or b"", starts or [], ends or []
             digest, at = hashlib.sha256(), 0
-            for s, e in spans:
+            for s, e in zip(starts, ends, strict=True):
                 digest.update(raw[at:s])
                 at = e
             digest.update(raw[at:])
-            out.append((doc, len(raw), sum(e - s for s, e in spans), len(spans), digest.hexdigest(), [s for s, _ in spans], [e for _, e in spans]))
+            out.append((doc, len(raw), sum(ends) - sum(starts), len(starts), digest.hexdigest(), starts, ends))
         cols = list(zip(*out, strict=True)) if out else [[]] * 7
         kinds = [pa.int64()] * 4 + [pa.string()] + [pa.list_(pa.int64())] * 2
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "span_starts", "span_ends"])
 
 
-def suffix_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", hot: int = HOT, broadcast_docs: int = BROADCAST_DOCS) -> DataFrame:
-    """One row a document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, span_starts, span_ends (bytes)."""
-    found = stash(repeated(docs, text, doc_id, hot), "starts")
-    if found.count() <= broadcast_docs:
-        found = F.broadcast(found)
-    joined = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.encode(F.col(text).cast("string"), "utf-8").alias("raw")).join(found, F.col("doc_id") == F.col("doc"), "left")
-    return joined.select("doc_id", "raw", "starts").mapInArrow(_kept, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, span_starts array<long>, span_ends array<long>")
+def suffix_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", hot: int = HOT) -> DataFrame:
+    """One row a document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, span_starts, span_ends (bytes). Spans are joined by id: their number grows with the input."""
+    found = repeated(docs, text, doc_id, hot).mapInArrow(_merge, "doc long, span_starts array<long>, span_ends array<long>")
+    texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    joined = texts.join(found.hint("merge"), F.col("doc_id") == F.col("doc"), "left").select("doc_id", F.encode("text", "utf-8").alias("raw"), "span_starts", "span_ends")
+    return joined.mapInArrow(_kept, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, span_starts array<long>, span_ends array<long>")
 
 
 def op8_suffix_dedup(spark, sf_dir: str) -> DataFrame:

@@ -48,8 +48,8 @@ def test_suffix_array():
 def test_against_brute_force(spark):
     docs = corpus(1)
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
-    for hot, broadcast in ((sd.HOT, sd.BROADCAST_DOCS), (1, 0)):
-        got = {(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in sd.suffix_dedup(df, hot=hot, broadcast_docs=broadcast).collect()}
+    for hot in (sd.HOT, 1):
+        got = {(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in sd.suffix_dedup(df, hot=hot).collect()}
         assert got == brute(docs)
 
 
