@@ -121,11 +121,14 @@ def judge(counted: DataFrame, model: dict) -> DataFrame:
     return v.withColumn("kept", ~F.col("base_failed") & (F.col("p_good") >= 0.5)).drop(*[f"v_{r[0]}" for r in RULES])
 
 
-def keep_good(docs: DataFrame) -> DataFrame:
+def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs without those that are rejected; counts are computed for the fit and again for the filter, so that no text is shuffled."""
-    judged = judge(counts(docs), fit(counts(docs.select("text"))))
+    model = fit(counts(docs.select(F.col(text).cast("string").alias("text"))))
+    # the row travels as one value, so that none of its columns can clash with a count
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_whole"), F.col(text).cast("string").alias("text"))
     # a row number is not deterministic, so the filter isn't pushed below the counts, where each mention of a count would compute it anew
-    return judged.withColumn("_row", F.monotonically_increasing_id()).filter("kept AND _row >= 0").select(*docs.columns)
+    judged = judge(counts(whole), model).withColumn("_row", F.monotonically_increasing_id()).filter("kept AND _row >= 0")
+    return judged.select(*[F.col(f"_whole.`{c}`").alias(c) for c in docs.columns])
 
 
 def op2_quality_rules(spark, sf_dir: str) -> DataFrame:

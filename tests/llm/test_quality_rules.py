@@ -41,8 +41,10 @@ def test_counts(spark):
 
 
 def test_junk_goes_and_clean_stays(spark):
-    docs = spark.createDataFrame([(i, t, "x") for i, t in corpus()], "doc_id long, text string, kept string")
-    kept = {r.doc_id for r in q.keep_good(docs.withColumnRenamed("kept", "extra")).collect()}
+    docs = spark.createDataFrame([(i, t, "x", "y") for i, t in corpus()], "doc_id long, text string, kept string, n_words string")
+    rows = q.keep_good(docs).collect()
+    assert all((r.kept, r.n_words) == ("x", "y") for r in rows)
+    kept = {r.doc_id for r in rows}
     for i, t in corpus():
         n, _, symbols, _, rep = brute(t)
         if n < 50 or 100 * rep > 50 * n or symbols > n:
