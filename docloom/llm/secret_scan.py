@@ -10,6 +10,7 @@ empty table; other columns pass through; matches are leftmost and do not overlap
 
 from __future__ import annotations
 
+import re
 import re._constants as _C
 import re._parser as _parser
 from dataclasses import dataclass
@@ -24,7 +25,7 @@ from .store import stash
 class Rule:
     kind: str
     pattern: str
-    #: what a match must fulfil besides; over the columns m (match) and v (group 2, or the match)
+    #: what a match must fulfil besides: a least length of m (the match) or v (its group)
     where: str = "true"
     group: int = 0
     base: bool = False
@@ -155,9 +156,9 @@ def candidates(docs: DataFrame, rules: tuple[Rule, ...], text: str = "text", doc
 
 def _spans(rule: Rule, k: int) -> Column:
     """Array of (start, k, end): the text is split at the matches, so places are sums of the lengths of gaps and matches."""
-    java, p = rule.pattern, F.lit(rule.pattern)
+    p = F.lit(rule.pattern)
     found = F.transform(
-        F.array(F.struct(F.regexp_extract_all("_text", p, F.lit(0)).alias("m"), F.regexp_extract_all("_text", p, F.lit(rule.group)).alias("v"), F.split("_text", java, -1).alias("g"))),
+        F.array(F.struct(F.regexp_extract_all("_text", p, F.lit(0)).alias("m"), F.regexp_extract_all("_text", p, F.lit(rule.group)).alias("v"), F.split("_text", rule.pattern, -1).alias("g"))),
         lambda x: F.aggregate(
             F.arrays_zip(x["m"].alias("m"), x["v"].alias("v"), F.slice(x["g"], 1, F.greatest(F.size(x["m"]), F.lit(0))).alias("g")),
             F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<s:int,k:int,e:int>>").alias("out")),
@@ -172,7 +173,11 @@ def _spans(rule: Rule, k: int) -> Column:
 
 
 def _where(rule: Rule, y: Column) -> Column:
-    return {"true": F.lit(True), "length(v) >= 6": F.length(y["v"]) >= 6, "length(m) >= 20": F.length(y["m"]) >= 20, "length(m) >= 24": F.length(y["m"]) >= 24}[rule.where]
+    """rule.where over a match, its parts taken from y."""
+    if rule.where == "true":
+        return F.lit(True)
+    part, least = re.fullmatch(r"length\((m|v)\) >= (\d+)", rule.where).groups()
+    return F.length(y[part]) >= int(least)
 
 
 #: For a scan of every text a rule may be searched by a narrower expression with the same accepted matches: a run of 24 or more is a run.
@@ -211,22 +216,20 @@ def op10_secret_scan(spark, sf_dir: str) -> DataFrame:
     return found.select("doc_id", of(0).alias("n_assign"), of(1).alias("n_access"), of(2).alias("n_hex"), F.sha2(_text_of(base, RULES), 256).alias("base_sha256"), _text_of(F.col("_spans"), RULES).alias("spans"))
 
 
-def _sql_spans(r: Rule, k: int) -> str:
-    """DuckDB: places of matches, as sums over the gaps; matches are cut off one by one from the left by a fold over the list of matches."""
-    p = r.pattern.replace("(?i:(password|passwd|secret|token|api_?key))", "(?i:password|passwd|secret|token|api_?key)").replace("(?i:", "(?i:").replace("'", "''")
-    return p
+def _sql_pattern(r: Rule) -> str:
+    """DuckDB has the groups of a pattern numbered alike, but for the keyword, which needs none."""
+    return r.pattern.replace("(?i:(password|passwd|secret|token|api_?key))", "(?i:password|passwd|secret|token|api_?key)").replace("'", "''")
 
 
 def _oracle() -> str:
     parts = []
     for k, r in enumerate(RULES):
-        p = _sql_spans(r, k)
+        p = _sql_pattern(r)
         v = f"regexp_extract_all(t, '{p}', {1 if r.group else 0})"
-        where = r.where.replace("length(v)", "length(v)").replace("length(m)", "length(m)")
         parts.append(f"""SELECT doc_id, {k} AS k, '{r.kind}' AS kind, s, s + length(m) AS e, i FROM (
   SELECT doc_id, m, v, i, (sum(length(m) + length(g)) OVER (PARTITION BY doc_id ORDER BY i) - length(m))::BIGINT AS s FROM (
     SELECT doc_id, unnest(regexp_extract_all(t, '{p}', 0)) AS m, unnest({v}) AS v, unnest(list_slice(string_split_regex(t, '{p}'), 1, len(regexp_extract_all(t, '{p}', 0)))) AS g, generate_subscripts(regexp_extract_all(t, '{p}', 0), 1) AS i FROM d))
-  WHERE {where}""")
+  WHERE {r.where}""")
     both = "\nUNION ALL\n".join(parts)
     return f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), found AS ({both}),
 a AS (SELECT doc_id, count(*) FILTER (WHERE k = 0) AS n_assign, count(*) FILTER (WHERE k = 1) AS n_access, count(*) FILTER (WHERE k = 2) AS n_hex,
