@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docloom.plans.checkpoints import ensure_folder
 from docloom.plans.registry import query, table
 
 
 def communities(edges: DataFrame, rounds: int = 5) -> DataFrame:
     """edges (a, b, w) -> (v, c). In each round every vertex takes the label with the largest weight around it, the smaller one in ties; every
     second round only the vertices whose label is the larger one move, so labels can't swap for ever."""
+    ensure_folder(edges.sparkSession)
     both = edges.select("a", "b", "w").union(edges.select("b", "a", "w"))
     labels = both.select(F.col("a").alias("v")).distinct().withColumn("c", F.col("v"))
     for _ in range(rounds):
