@@ -15,7 +15,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import stash
+from .store import shared_dir, stash
 
 ROUNDS = 12
 #: Prior share of good documents, and for the first round the posterior of documents with and without a "bad" vote.
@@ -81,6 +81,7 @@ def fit(counted: DataFrame, rounds: int = ROUNDS) -> dict:
     Each round is one aggregation over the histogram of joint votes, which has 3 ** len(RULES) rows at most; it returns three rows a rule.
     """
     names = [f"v_{r[0]}" for r in RULES]
+    shared_dir(counted.sparkSession)  # where checkpoints go
     # the filter stands behind the checkpoint: pushed below, it would compute all counts in itself
     table = votes(counted).groupBy(*names, (F.col("n_words") > 0).alias("words")).agg(F.count(F.lit(1)).alias("n")).coalesce(1).checkpoint().filter("words")
     any_bad = F.least(*[F.abs(F.col(c)) for c in names]) == 0
