@@ -24,14 +24,14 @@ from pyspark.sql import functions as F
 
 from . import textbuf as tb
 from .components import components
-from .store import stash
+from .store import small_batches, stash
 
 SHINGLE = 5
 #: Percent of the union that the intersection must reach.
 SIMILARITY = 80
-#: Counters of the sketch by which tokens are ordered. Any order is exact; more counters keep lists shorter.
-SLOT_BITS = 20
-SLICES = 16
+#: Counters of the sketch by which tokens are ordered, one byte each at the workers. Any order is exact; more counters keep lists shorter.
+SLOT_BITS = 24
+SLICES = 256
 BROADCAST_IDS = 1_000_000
 
 
@@ -59,7 +59,7 @@ _SETS = "doc_id long, n int, s1 long, s2 long, slice int, counts binary"
 
 
 def _first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros(1 << SLOT_BITS, np.uint32)
+    counts = np.zeros(1 << SLOT_BITS, np.uint8)  # a task's counts stop at 255: they only order tokens
     names = [x.split()[0] for x in _SETS.split(", ")]
     for batch in batches:
         ids, n, sig = batch.column(0), [], []
@@ -69,7 +69,8 @@ def _first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 n.append(len(x))
                 d = xxhash.xxh3_128_intdigest(x.tobytes())
                 sig.append((d >> 64, d & (1 << 64) - 1))
-            counts += np.bincount(_slot(np.concatenate(sets)), minlength=1 << SLOT_BITS).astype(np.uint32)
+            slots, more = np.unique(_slot(np.concatenate(sets)), return_counts=True)
+            counts[slots] = np.minimum(counts[slots] + more, 255)
         s = np.array(sig, np.uint64).reshape(-1, 2).view(np.int64)
         nulls = pa.nulls(len(n))
         yield pa.RecordBatch.from_arrays([ids, pa.array(n, pa.int32()), pa.array(s[:, 0]), pa.array(s[:, 1]), nulls.cast(pa.int32()), nulls.cast(pa.binary())], names=names)
@@ -78,39 +79,33 @@ def _first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([none.cast(pa.int64()), none.cast(pa.int32()), none.cast(pa.int64()), none.cast(pa.int64()), pa.array(range(SLICES), pa.int32()), pa.array(part, pa.binary())], names=names)
 
 
-def _add_up(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros((1 << SLOT_BITS) // SLICES, np.uint64)
-    for batch in batches:
-        for x in batch.column(batch.schema.get_field_index("counts")):
-            total += np.frombuffer(zlib.decompress(x.as_py()), np.uint32)
-    yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["slice", "counts"])
-
+def _levels(mean: float):
+    def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((1 << SLOT_BITS) // SLICES, np.int64)
+        for batch in batches:
+            for x in batch.column(batch.schema.get_field_index("counts")):
+                total += np.frombuffer(zlib.decompress(x.as_py()), np.uint8)
+        above = np.floor(4 * np.log2(np.maximum(1.0, total / (mean + 4 * np.sqrt(mean))))).astype(np.uint8)
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([zlib.compress(above.tobytes(), 1)], pa.binary())], names=["slice", "counts"])
 
-def token_levels(sets: DataFrame) -> bytes:
-    """One byte a counter: how far its count is above the mean, in quarters of powers of two; of fixed size, whatever the input."""
-    parts = sets.filter("slice IS NOT NULL").select("slice", "counts").groupBy("slice").applyInArrow(_add_up, "slice int, counts binary").collect()
-    counts = np.zeros(1 << SLOT_BITS, np.uint64)
-    step = len(counts) // SLICES
-    for r in parts:
-        counts[r["slice"] * step : (r["slice"] + 1) * step] = np.frombuffer(r["counts"], np.uint64)
-    mean = max(1.0, counts.mean())
-    above = np.floor(4 * np.log2(np.maximum(1.0, counts / (mean + 4 * np.sqrt(mean)))))
-    return zlib.compress(above.astype(np.uint8).tobytes())
+    return run
 
 
-def need(n: int, m: int) -> int:
-    """Least intersection of linked sets of n and m."""
-    return -(-SIMILARITY * (n + m) // (100 + SIMILARITY))
+def token_levels(sets: DataFrame) -> list[bytes]:
+    """One byte a counter, packed: how far its count is above the mean, in quarters of powers of two; 2 ** SLOT_BITS bytes at most, whatever the input."""
+    mean = max(1.0, (sets.agg(F.sum("n")).first()[0] or 0) / (1 << SLOT_BITS))
+    parts = sets.filter("slice IS NOT NULL").select("slice", "counts").groupBy("slice").applyInArrow(_levels(mean), "slice int, counts binary").collect()
+    return [bytes(r["counts"]) for r in sorted(parts, key=lambda r: r["slice"])]
 
 
-def _prefixes(levels: bytes):
+def _prefixes(levels: list[bytes]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        level = np.frombuffer(zlib.decompress(levels), np.uint8)
+        level = np.frombuffer(b"".join(map(zlib.decompress, levels)) or bytes(1 << SLOT_BITS), np.uint8)
         seen: set[bytes] = set()
         for batch in batches:
             ids = batch.column(0).to_pylist()
             for lo, _hi, buf, offs in tb.slices(batch.column(1)):
-                token, own, size, common = [], [], [], []
+                token, own, size, common, place = [], [], [], [], []
                 for k, x in enumerate(shingle_sets(buf, offs)):
                     n = len(x)
                     if not n:
@@ -125,8 +120,9 @@ def _prefixes(levels: bytes):
                     own.append(np.full(p, ids[lo + k], np.int64))
                     size.append(np.full(p, n, np.int32))
                     common.append(np.full(p, int(by.sum(dtype=np.int64) * 64 // n), np.int32))
+                    place.append(np.arange(p, dtype=np.int32))
                 if token:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(token).view(np.int64)), pa.array(np.concatenate(own)), pa.array(np.concatenate(size)), pa.array(np.concatenate(common))], names=["token", "doc", "n", "pop"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(token).view(np.int64)), pa.array(np.concatenate(own)), pa.array(np.concatenate(size)), pa.array(np.concatenate(common)), pa.array(np.concatenate(place))], names=["token", "doc", "n", "pop", "pos"])
 
     return run
 
@@ -167,6 +163,7 @@ _SHARED = f"c + greatest(n - (n - ceil({SIMILARITY} * n / 100.0) + 1), m - (m -
 
 def jaccard_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row a document: doc_id, n_shingles, component_id."""
+    small_batches(docs.sparkSession)
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     sets = stash(docs.mapInArrow(_first_pass, _SETS), "sets")
     levels = token_levels(sets)
@@ -177,9 +174,9 @@ def jaccard_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     copies = sets.filter("n > 0").join(firsts, ["s1", "s2"]).select(F.col("doc_id").alias("a"), "b")
 
     # index lists of two sets or more, with the set to compare first
-    listed = docs.mapInArrow(_prefixes(levels), "token long, doc long, n int, pop int")
+    listed = docs.mapInArrow(_prefixes(levels), "token long, doc long, n int, pop int, pos int")
     lists = listed.groupBy("token").agg(F.count(F.lit(1)).alias("k"), F.max(F.struct("pop", (-F.col("doc")).alias("d"), "n")).alias("top")).filter("k > 1")
-    rows = stash(listed.join(lists.select("token", (-F.col("top.d")).alias("pivot"), F.col("top.n").alias("m")), "token").select("token", "doc", "n", "pivot", "m"), "lists")
+    rows = stash(listed.join(lists.select("token", (-F.col("top.d")).alias("pivot"), F.col("top.n").alias("m")), "token").select("token", "doc", "n", "pos", "pivot", "m"), "lists")
 
     near = rows.filter("doc <> pivot").filter(_SIZES).groupBy("doc", "pivot", "n", "m").agg(F.count(F.lit(1)).alias("c")).filter(_SHARED)
     best = near.groupBy("doc").agg(F.max(F.struct("c", (-F.col("pivot")).alias("p"))).alias("x")).select(F.col("doc").alias("a"), (-F.col("x.p")).alias("b"))
@@ -187,13 +184,19 @@ def jaccard_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     classes = components(links)
 
     # lists that still hold sets of different classes
-    with_class = rows.select("token", "doc", "n").join(classes, F.col("doc") == F.col("v"), "left").select("token", "doc", "n", F.coalesce("c", "doc").alias("class"))
-    with_class = stash(with_class, "classed")
+    # listed tokens that no other set lists can't be shared: what a set can share with any other is at most `most`
+    most = rows.groupBy(F.col("doc").alias("d")).agg((F.max("n") - F.expr(f"max(n - ceil({SIMILARITY} * n / 100.0) + 1)") + F.count(F.lit(1))).cast("int").alias("most"))
+    of_doc = most.join(classes, F.col("d") == F.col("v"), "left").select("d", "most", F.coalesce("c", "d").alias("class"))
+    with_class = stash(rows.select("token", "doc", "n", "pos").join(of_doc, F.col("doc") == F.col("d")).select("token", "doc", "n", "pos", "most", "class"), "classed")
     mixed = with_class.groupBy("token").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).filter("lo <> hi").select("token")
     left = with_class.join(mixed, "token")
-    right = left.select("token", F.col("doc").alias("doc2"), F.col("n").alias("m"), F.col("class").alias("class2"))
-    cross = left.join(right, "token").filter("class < class2").filter(_SIZES)
-    rest = cross.groupBy("doc", "doc2", "n", "m").agg(F.count(F.lit(1)).alias("c")).filter(_SHARED).select(F.col("doc").alias("a"), F.col("doc2").alias("b"))
+    right = left.select("token", F.col("doc").alias("doc2"), F.col("n").alias("m"), F.col("pos").alias("pos2"), F.col("most").alias("most2"), F.col("class").alias("class2"))
+    # two sets that link share a token among the first n - need + 1 of either
+    apart = left.join(right, "token").filter("class < class2").filter(_SIZES).filter(f"least(most, most2) >= {_NEED} AND pos <= n - {_NEED} AND pos2 <= m - {_NEED}")
+    pairs = apart.select("doc", "doc2", "n", "m").distinct()
+    listed_of = rows.groupBy(F.col("doc").alias("d")).agg(F.collect_list("token").alias("l"))  # at most a fifth of a set
+    both = pairs.join(listed_of, F.col("doc") == F.col("d")).select("doc", "doc2", "n", "m", F.col("l").alias("l1")).join(listed_of, F.col("doc2") == F.col("d"))
+    rest = both.withColumn("c", F.size(F.array_intersect("l1", "l"))).filter(_SHARED).select(F.col("doc").alias("a"), F.col("doc2").alias("b"))
     more = verified(rest, docs, "rest")
     # classes found so far stand for their links
     final = components(classes.select(F.col("v").alias("a"), F.col("c").alias("b")).union(more))

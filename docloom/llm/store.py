@@ -22,6 +22,12 @@ def shared_dir(spark: SparkSession) -> str:
     return sc._jsc.sc().getCheckpointDir().get()
 
 
+def small_batches(spark: SparkSession, size: str = "16m") -> None:
+    """Rows of whole texts go to Python workers in batches of this size, where the session has not set one of its own."""
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "67108864b":
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     path = f"{shared_dir(spark).rstrip('/')}/docloom/{name}-{uuid.uuid4().hex}"
     _made.append((spark, path))
