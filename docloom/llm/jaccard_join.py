@@ -184,7 +184,8 @@ def jaccard_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     classes = components(links)
 
     # lists that still hold sets of different classes
-    # listed tokens that no other set lists can't be shared: what a set can share with any other is at most `most`
+    # a listed token that no other set lists can't be shared with a set whose list ends later, though it may stand in the rest of one whose list ends
+    # sooner: of two sets, the one whose list ends first shares at most its `most`
     most = rows.groupBy(F.col("doc").alias("d")).agg((F.max("n") - F.expr(f"max(n - ceil({SIMILARITY} * n / 100.0) + 1)") + F.count(F.lit(1))).cast("int").alias("most"))
     of_doc = most.join(classes, F.col("d") == F.col("v"), "left").select("d", "most", F.coalesce("c", "d").alias("class"))
     with_class = stash(rows.select("token", "doc", "n", "pos").join(of_doc, F.col("doc") == F.col("d")).select("token", "doc", "n", "pos", "most", "class"), "classed")
@@ -192,7 +193,7 @@ def jaccard_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     left = with_class.join(mixed, "token")
     right = left.select("token", F.col("doc").alias("doc2"), F.col("n").alias("m"), F.col("pos").alias("pos2"), F.col("most").alias("most2"), F.col("class").alias("class2"))
     # two sets that link share a token among the first n - need + 1 of either
-    apart = left.join(right, "token").filter("class < class2").filter(_SIZES).filter(f"least(most, most2) >= {_NEED} AND pos <= n - {_NEED} AND pos2 <= m - {_NEED}")
+    apart = left.join(right, "token").filter("class < class2").filter(_SIZES).filter(f"greatest(most, most2) >= {_NEED} AND pos <= n - {_NEED} AND pos2 <= m - {_NEED}")
     pairs = apart.select("doc", "doc2", "n", "m").distinct()
     listed_of = rows.groupBy(F.col("doc").alias("d")).agg(F.collect_list("token").alias("l"))  # at most a fifth of a set
     both = pairs.join(listed_of, F.col("doc") == F.col("d")).select("doc", "doc2", "n", "m", F.col("l").alias("l1")).join(listed_of, F.col("doc2") == F.col("d"))

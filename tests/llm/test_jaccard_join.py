@@ -1,8 +1,10 @@
 import random
 import re
 
+import numpy as np
+
 from docloom.llm.components import components
-from docloom.llm.jaccard_join import jaccard_classes, one_of_each
+from docloom.llm.jaccard_join import jaccard_classes, one_of_each, shingle_sets
 
 
 def brute(docs):
@@ -53,6 +55,20 @@ def test_against_brute_force(spark):
     assert kept == {c for _, _, c in brute(docs)}
 
 
+def test_listed_by_one_and_in_the_rest_of_the_other(spark):
+    """a has 100 shingles and lists 15 of its own (rare) and t1..t6; b has 90, 5 of its own (common), and lists t1..t19; 85 are shared, as many as are needed.
+    c lists t1..t6 too and is compared first with a and b, but its size rules links out."""
+    shared, own_a, own_b, tail = ([f"{x}{k}" for k in range(n)] for x, n in (("p", 89), ("a", 15), ("b", 5), ("t", 300)))
+    windows = [shared[k : k + 5] for k in range(85)]
+    windows.sort(key=lambda w: next(shingle_sets(np.frombuffer((t := " ".join(w)).encode(), np.uint8), np.array([0, len(t)])))[0])
+    docs = [(1, own_a + shared), (2, shared + own_b), (3, [x for k, w in enumerate(windows[:6]) for x in [*w, f"c{k}"]] + tail)]
+    for k in range(30):  # make shared, own_b and tail ever more common; what they list is their own
+        docs.append((10 + k, [f"f{k}-{j}" for j in range(500)] + (shared if k < 10 else []) + [f"g{k}"] + (shared[-4:] + own_b if 10 <= k else []) + [f"h{k}"] + tail))
+    docs = [(i, " ".join(w)) for i, w in docs]
+    got = {tuple(r) for r in jaccard_classes(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).select("doc_id", "n_shingles", "component_id").collect()}
+    assert got == brute(docs) and {(1, 100, 1), (2, 90, 1)} <= got
+
+
 def test_empty(spark):
     assert jaccard_classes(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
