@@ -11,6 +11,7 @@ other columns pass through.
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -62,11 +63,20 @@ def tile(doc: list[int], item: list[int], least: int = SEED, first: int = 20) ->
         if longest > 2 * s:
             s = longest
             continue
-        for k, i, j in sorted(found, key=lambda x: (-x[0], x[1], x[2])):
-            if not any(in_doc[i : i + k]) and not any(in_item[j : j + k]):
+        # a match cut short by a longer tile goes back into the queue with what is left of it, so that no match of s words remains at the end
+        queue = [(-k, i, j) for k, i, j in found]
+        heapq.heapify(queue)
+        while queue:
+            k, i, j = heapq.heappop(queue)
+            k, n = -k, 0
+            while n < k and not in_doc[i + n] and not in_item[j + n]:
+                n += 1
+            if n == k:
                 in_doc[i : i + k] = [True] * k
                 in_item[j : j + k] = [True] * k
                 tiles.append((i, j, k))
+            elif n >= s:
+                heapq.heappush(queue, (-n, i, j))
         if s == least:
             return tiles
         s = max(least, s // 2)

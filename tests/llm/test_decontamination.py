@@ -30,6 +30,20 @@ def test_tiles():
         assert sorted(tile(doc, item)) == sorted(brute_tiles(doc, item))
 
 
+def test_match_cut_short_by_a_longer_tile():
+    item = [*range(17), 0, 18, 19]  # word 17 equals word 0: the first match runs one word over the seam
+    doc = item[10:17] + item[:9]
+    assert sorted(tile(doc, item)) == sorted(brute_tiles(doc, item)) == [(0, 10, 7), (7, 0, 9)]
+    rnd = random.Random(3)
+    for _ in range(300):
+        item = [rnd.randrange(12) for _ in range(rnd.randint(10, 40))]
+        cuts = sorted(rnd.sample(range(len(item)), 3))
+        parts = [item[a:b] for a, b in zip([0, *cuts], [*cuts, len(item)], strict=True)]
+        rnd.shuffle(parts)
+        doc = [w for p in parts for w in p]
+        assert sorted(tile(doc, item)) == sorted(brute_tiles(doc, item))
+
+
 def test_reordered_passages(spark):
     rnd = random.Random(2)
     words = [f"w{k}" for k in range(500)]
