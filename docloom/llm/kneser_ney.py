@@ -311,7 +311,7 @@ _SCORES = "doc_id long, n_tokens long, n_known long, base_score double, score do
 def _score(model: dict):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model)
-        floor = math.log10((model["tokens"] + 1) * (model["vocabulary"] + 1))
+        floor = math.log10(model["tokens"] + model["vocabulary"] + 1)  # one more for each word and for an unknown one
         for batch in batches:
             for lo, hi, buf, offs in tb.slices(batch.column(1), 4 << 20):
                 w, start = token_hashes(buf, offs)

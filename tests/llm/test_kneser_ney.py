@@ -66,6 +66,15 @@ def test_against_brute_force(spark, monkeypatch):
         assert sum(brute.p(u, w) for w in words) == pytest.approx(1.0)
 
 
+def test_base_adds_up_to_one(spark):
+    """Add-one shares of all words and of an unknown one; each text is scored with the end of its text."""
+    model = fit(spark.createDataFrame([("a b a",), ("c a",)], "text string"))  # a 3, b 1, c 1, end 2: 7 tokens of 4 words
+    got = {r.doc_id: r.base_score for r in score(spark.createDataFrame([(0, ""), (1, "a"), (2, "b"), (3, "c"), (4, "new")], "doc_id long, text string"), model).collect()}
+    assert got[0] == pytest.approx(math.log10(3 / 12))
+    shares = [10 ** got[0], *(10 ** (got[k] - got[0]) for k in (1, 2, 3, 4))]
+    assert shares == pytest.approx([3 / 12, 4 / 12, 2 / 12, 2 / 12, 1 / 12]) and sum(shares) == pytest.approx(1.0)
+
+
 def test_empty(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert score(none, fit(none.select("text"))).collect() == []
