@@ -1,12 +1,15 @@
 """HTML extraction with site style trees.
 
 The pages of a host are merged into one style tree: its nodes are paths of elements with their classes. Over the pages that have a node, the entropy of its
-presentation (which elements it holds) and of its content (on how many pages each of its texts occurs) give its importance:
-near 1 where each page says something of its own, near 0 where all say the same. A branch is removed where its importance and the
-role that its elements declare (article, menu, advert, comments ...) together speak against it.
+presentation (the sequences of elements it holds) and of its content (on how many pages each of its texts occurs) give its importance: a branch that looks alike
+and says the same on every page comes near 0, one that differs in both near 1. Branches of low importance are removed from each page.
 
-Defined cases: null and empty pages give an empty text; pages may be of any length; a host with under LEAST_PAGES pages is judged by roles alone; null is a host
-of its own; repeated rows are pages of their own; an empty table gives an empty table; other columns pass through.
+What an element declares itself to be (article, menu, advert ...) is a prior of less weight than the tree's range, so the tree can overrule it either way.
+Reader comments and widgets alone weigh more (NEVER): a comment is as fresh as the article, which no entropy can tell.
+
+Defined cases: null and empty pages give an empty text; pages may be of any length; the tree's say grows with the number of pages that have the node (none at
+one page, half at five), so on a host of one page the priors decide; null is a host of its own; repeated rows are pages of their own; an empty table gives an
+empty table; other columns pass through, whatever their names.
 """
 
 from __future__ import annotations
@@ -19,12 +22,13 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .store import stash
 
-LEAST_PAGES = 5
-#: Importance at which a node without a role is neither kept nor removed; weights of presentation and role.
-NEUTRAL, PRESENTATION, ROLE, OUTSIDE, STEEP, UNKNOWN = 0.3, 0.2, 3.0, 2.5, 4.0, 1.0
+#: Score of a block: STEEP * (importance - NEUTRAL), from -2 to 3, by the tree's say; the priors are added. Kept at 0 or more.
+NEUTRAL, STEEP, HALF_SAY = 0.4, 5.0, 4
+GOOD_ROLE, BAD_ROLE, OUTSIDE, NEVER = 1.5, -1.5, -1.0, -4.0
 BROADCAST_NODES = 1_000_000
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+|[^>]*)>""", re.S)
@@ -36,32 +40,48 @@ _ENDS_P = frozenset("address article aside blockquote center details dialog dir
 _SIBLINGS = {"li": ("li", "ul ol menu"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"), "tr": ("tr td th", "table tbody thead tfoot"), "td": ("td th", "tr"), "th": ("td th", "tr"), "option": ("option", "select")}
 _SIBLINGS = {k: (frozenset(a.split()), frozenset(b.split())) for k, (a, b) in _SIBLINGS.items()}
 _GOOD = frozenset(["article", "main"])
-_BAD = frozenset("nav footer aside form button select dialog menu svg canvas audio video object head".split())
-_BAD_NAMES = frozenset("ad ads advert adverts advertisement adsense banner breadcrumb breadcrumbs comment comments commentlist cookie cookies consent disqus footer header masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup promo related respond share sharing sidebar signup social sponsor sponsored subscribe toolbar widget widgets contentinfo complementary search".split())
+_BAD = frozenset("nav footer aside form".split())
+_NEVER = frozenset("button select dialog menu svg canvas audio video object head".split())
+_BAD_NAMES = frozenset("ad ads advert adverts advertisement adsense banner breadcrumb breadcrumbs cookie cookies consent footer header masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup promo related share sharing sidebar signup social sponsor sponsored subscribe toolbar widget widgets contentinfo complementary search".split())
+_NEVER_NAMES = frozenset("comment comments commentlist disqus respond".split())
 _PARTS = re.compile(r"[^a-z0-9]+")
-
-
-def _bad_name(names: str) -> bool:
-    return any(p in _BAD_NAMES for p in _PARTS.split(names))
-
-
-def blocks(page: str) -> list[tuple[str, int, str, str]]:
-    """The text blocks of a page in order: (path, role, text, elements of the block). role: 1 in an article, -1 in something declared as none, else 0."""
-    out: list[tuple[str, int, str, str]] = []
-    stack: list[tuple[str, str, int]] = [("", "", 0)]  # element, path, role
+#: Roles: declared good, nothing declared, declared bad, never main text.
+GOOD, NONE, BAD, NOT_TEXT = 1, 0, -1, -2
+
+
+def _role(tag: str, names: str, outer: int) -> int:
+    """The role of an element within one of role outer."""
+    parts = set(_PARTS.split(names)) if names else set()
+    if outer == NOT_TEXT or tag in _NEVER or (parts & _NEVER_NAMES and tag not in ("html", "body")):
+        return NOT_TEXT
+    if tag in _GOOD or "main" in names.split():  # an article in a wrapper with a misleading name is an article
+        return GOOD
+    if outer == BAD:
+        return BAD
+    # a page's header is none of the article; an article's own header is
+    if tag in _BAD or (tag == "header" and outer == NONE) or (parts & _BAD_NAMES and tag not in ("html", "body")):
+        return BAD
+    return outer
+
+
+def blocks(page: str, shapes: dict[str, list[str]] | None = None) -> list[tuple[str, int, str]]:
+    """The text blocks of a page in order: (path, role, text). Where shapes is given, it takes for each path the elements that each of its occurrences holds."""
+    out: list[tuple[str, int, str]] = []
+    stack: list[tuple[str, str, int, list[str]]] = [("", "", NONE, [])]  # element, path, role, elements it holds
     text: list[str] = []
-    marks: list[str] = []
 
     def flush() -> None:
         if text:
             t = " ".join(html.unescape("".join(text)).split())
             if t:
-                out.append((stack[-1][1], stack[-1][2], t, " ".join(marks)))
+                out.append((stack[-1][1], stack[-1][2], t))
             text.clear()
-        marks.clear()
 
     def pop(to: int) -> None:
         flush()
+        if shapes is not None:
+            for _, path, _, held in stack[to:]:
+                shapes.setdefault(path, []).append(" ".join(held))
         del stack[to:]
 
     at, n = 0, len(page)
@@ -89,7 +109,7 @@ def blocks(page: str) -> list[tuple[str, int, str, str]]:
             at = end.end() if end else n
             continue
         if tag in _INLINE:
-            marks.append(tag)
+            stack[-1][3].append(tag)
             continue
         if tag in _ENDS_P:
             for k in range(len(stack) - 1, 0, -1):
@@ -104,18 +124,13 @@ def blocks(page: str) -> list[tuple[str, int, str, str]]:
                 if stack[k][0] in ends:
                     pop(k)
         flush()
+        stack[-1][3].append(tag)
         if tag in _VOID:
             continue
-        _, path, role = stack[-1]
-        names = " ".join((a or b or c).lower() for _, a, b, c in _CLASS.findall(m[3])) if m[3] else ""
-        if role >= 0:
-            # a page's header is none of the article; an article's own header is
-            if tag in _BAD or (tag == "header" and role == 0) or (names and tag not in ("html", "body", *_GOOD) and _bad_name(names)):
-                role = -1
-            elif tag in _GOOD or "main" in names.split():
-                role = 1
-        stack.append((tag, f"{path}>{tag}.{names}" if names else f"{path}>{tag}", role))
-    flush()
+        _, path, role, _ = stack[-1]
+        names = " ".join((a or b or c).lower() for _, a, b, c in _CLASS.findall(m[3])).replace(">", " ") if m[3] else ""
+        stack.append((tag, f"{path}>{tag}.{names}" if names else f"{path}>{tag}", _role(tag, names, role), []))
+    pop(1)
     return out
 
 
@@ -123,78 +138,89 @@ def _key(s: str) -> int:
     return xxhash.xxh3_64_intdigest(s) - (1 << 63)
 
 
-_NODES = "host string, path long, shown long, content long, first int"
+_NODES = "host string, path long, kind int, value long"
+CONTENT, SHAPE = 0, 1
 
 
 def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each page and node: each of its texts once, and the node's shape (the elements in all its occurrences) once."""
     for batch in batches:
         rows: list[tuple] = []
         for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            by: dict[str, tuple[list, set]] = {}
-            for path, _, text, marks in blocks(page or ""):
-                node = by.setdefault(path, ([], set()))
-                node[0].append(marks)
-                node[1].add(_key(text))
-            for path, (marks, texts) in by.items():
-                p, shown = _key(path), _key("|".join(sorted(set(marks))))
-                rows.extend((host, p, shown, c, int(k == 0)) for k, c in enumerate(sorted(texts)))
-        cols = list(zip(*rows, strict=True)) if rows else [[]] * 5
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int32()), strict=True)], names=["host", "path", "shown", "content", "first"])
-
-
-def style_tree(pages: DataFrame, page: str = "html", host: str = "_host", least_pages: int = LEAST_PAGES) -> DataFrame:
-    """(host, path, importance) of the nodes that enough pages of the host have. Equal contents are counted before the shuffle, so a hot host costs a row for each distinct node and text."""
+            shapes: dict[str, list[str]] = {}
+            texts = {(path, text) for path, _, text in blocks(page or "", shapes)}
+            rows.extend((host, _key(path), CONTENT, _key(text)) for path, text in texts)
+            rows.extend((host, _key(path), SHAPE, _key("|".join(held))) for path, held in shapes.items())
+        cols = list(zip(*rows, strict=True)) if rows else [[]] * 4
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.string(), pa.int64(), pa.int32(), pa.int64()), strict=True)], names=["host", "path", "kind", "value"])
+
+
+def style_tree(pages: DataFrame, page: str = "html", host: str = "host") -> DataFrame:
+    """(host, path, pages, content, shape) of the nodes on two pages or more (on one the tree has no say): importance by content (null without text) and by shape.
+
+    A value on n of a node's m pages has entropy log n / log m. Equal values are counted before the shuffle, so a hot host costs a row for each distinct node and value.
+    """
     rows = pages.select(F.col(host), F.col(page).cast("string")).mapInArrow(_nodes, _NODES)
-    counted = stash(rows.groupBy("host", "path", "shown", "content").agg(F.count(F.lit(1)).alias("n"), F.sum("first").alias("first")), "nodes")
-    content = counted.groupBy("host", "path", "content").agg(F.sum("n").alias("n"), F.sum("first").alias("first")).groupBy("host", "path").agg(F.sum("first").alias("pages"), F.sum(F.col("n") * F.log("n")).alias("repeated"), F.sum("n").alias("texts"))
-    shown = counted.groupBy("host", "path", "shown").agg(F.sum("first").alias("n")).filter("n > 0").groupBy("host", "path").agg(F.sum(F.col("n") * F.log("n")).alias("same"))
+    counted = rows.groupBy("host", "path", "kind", "value").agg(F.count(F.lit(1)).alias("n"))
+    sums = counted.groupBy("host", "path", "kind").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.log("n")).alias("same"))
+    of = lambda kind, c: F.max(F.when(F.col("kind") == kind, F.col(c)))
+    node = sums.groupBy("host", "path").agg(of(SHAPE, "n").alias("pages"), of(SHAPE, "same").alias("alike"), of(CONTENT, "n").alias("texts"), of(CONTENT, "same").alias("same"))
     size = F.log("pages")
-    both = content.filter(F.col("pages") >= least_pages).alias("c").join(shown.alias("s"), F.col("c.host").eqNullSafe(F.col("s.host")) & (F.col("c.path") == F.col("s.path")))
-    of_content = 1 - F.least(F.lit(1.0), F.col("repeated") / F.col("texts") / size)
-    of_shown = 1 - F.col("same") / F.col("pages") / size
-    return both.select("c.host", "c.path", ((1 - PRESENTATION) * of_content + PRESENTATION * of_shown).alias("importance"))
+    return node.filter("pages > 1").select("host", "path", "pages", (1 - F.col("same") / F.col("texts") / size).alias("content"), (1 - F.col("alike") / F.col("pages") / size).alias("shape"))
+
+
+def _inner(path: str) -> list[str]:
+    """The path and those of the elements around it, without body and html."""
+    steps = path.split(">")
+    return [">".join(steps[:k]) for k in range(len(steps), 0, -1) if steps[k - 1].split(".")[0] not in ("", "html", "body")]
+
+
+def importance_of(path: str, tree: dict[int, tuple[int, float | None, float]]) -> tuple[float, float]:
+    """(importance, the tree's say from 0 to 1): the block's content, halved where no element around it differs in shape between pages."""
+    pages, content, _ = tree.get(_key(path)) or (1, None, 0.0)
+    shape = max((tree[k][2] for k in map(_key, _inner(path)) if k in tree), default=0.0)
+    return (content or 0.0) * (1 + shape) / 2, (pages - 1) / (pages - 1 + HALF_SAY)
 
 
-def main_text(page: str, importance: dict[int, float]) -> str:
+def main_text(page: str, tree: dict[int, tuple[int, float | None, float]]) -> str:
+    """The blocks that importance and prior together speak for. tree: path's key -> (pages, content, shape)."""
     found = blocks(page)
-    inside = any(role > 0 for _, role, _, _ in found)
+    inside = any(role == GOOD for _, role, _ in found)
+    prior = {GOOD: GOOD_ROLE, BAD: BAD_ROLE, NOT_TEXT: NEVER, NONE: OUTSIDE if inside else 0.0}
     out, known = [], {}
-    for path, role, text, _ in found:
+    for path, role, text in found:
         if path not in known:
-            i = importance.get(_key(path))
-            own = UNKNOWN if i is None else max(-2.0, min(2.0, STEEP * (i - NEUTRAL)))
-            known[path] = own + (ROLE if role > 0 else -ROLE if role < 0 else -OUTSIDE if inside else 0.0)
-        if known[path] > 0:
+            importance, say = importance_of(path, tree)
+            known[path] = say * STEEP * (importance - NEUTRAL) + prior[role] >= 0
+        if known[path]:
             out.append(text)
     return " ".join(out)
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        names = batch.schema.names
         texts = []
-        for page, paths, values in zip(*(batch.column(names.index(c)).to_pylist() for c in ("_page", "_paths", "_values")), strict=True):
-            texts.append(main_text(page or "", dict(zip(paths or (), values or (), strict=True))))
-        yield batch.drop_columns(["_page", "_paths", "_values"]).append_column("_main", pa.array(texts, pa.string()))
+        for page, tree in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            texts.append(main_text(page or "", {x["path"]: (x["pages"], x["content"], x["shape"]) for x in tree or ()}))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["row", "main"])
 
 
 def host_of(url: Column) -> Column:
     return F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
-def extract(pages: DataFrame, page: str = "html", url: str = "url", least_pages: int = LEAST_PAGES, broadcast_nodes: int = BROADCAST_NODES) -> DataFrame:
-    """pages without the page column, with _main: the main text."""
-    hosted = pages.withColumn("_host", host_of(F.col(url)))
-    tree = stash(style_tree(hosted, page, "_host", least_pages), "tree")
-    by_host = tree.groupBy(F.col("host").alias("_of")).agg(F.collect_list(F.struct("path", "importance")).alias("_tree")).select("_of", F.col("_tree.path").alias("_paths"), F.col("_tree.importance").alias("_values"))
+def extract(pages: DataFrame, page: str = "html", url: str = "url", broadcast_nodes: int = BROADCAST_NODES) -> DataFrame:
+    """(row, main): each row's other columns as one struct, and its main text."""
+    keep = [c for c in pages.columns if c != page]
+    hosted = pages.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(page).cast("string").alias("html"), host_of(F.col(url)).alias("host"))
+    tree = stash(style_tree(hosted), "tree")
+    by_host = tree.groupBy(F.col("host").alias("of")).agg(F.collect_list(F.struct("path", "pages", "content", "shape")).alias("tree"))
     if tree.count() <= broadcast_nodes:
         by_host = F.broadcast(by_host)
-    joined = hosted.join(by_host, F.col("_host").eqNullSafe(F.col("_of")), "left").withColumn("_page", F.col(page).cast("string")).drop("_host", "_of", page)
-    keep = [f for f in pages.schema if f.name != page]
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keep) + ", _main string"
-    return joined.mapInArrow(_extract, kinds)
+    joined = hosted.join(by_host, F.col("host").eqNullSafe(F.col("of")), "left").select("row", "html", "tree")
+    return joined.mapInArrow(_extract, StructType([hosted.schema["row"], StructField("main", StringType())]))
 
 
 def op6_html_extract(spark, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
-    return extract(pages).select("page_id", "url", F.col("_main").alias("text"), F.length("_main").cast("long").alias("n_chars"))
+    return extract(pages).select("row.page_id", "row.url", F.col("main").alias("text"), F.length("main").cast("long").alias("n_chars"))
