@@ -10,6 +10,8 @@ window opened first; an empty table gives an empty table; other columns are not
 
 from __future__ import annotations
 
+import bisect
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -27,6 +29,8 @@ END = 2
 #: Words whose ids a worker remembers; beyond it the memory starts anew.
 REMEMBER = 1_000_000
 TOKENIZER = "word_bpe_49k.json"
+#: New words encoded in one call, and what stands between them.
+TOGETHER, MARK = 512, "^"
 
 #: Partitions, or groups of them, whose open windows are merged in one task: 32 x 64 windows of 16 kB.
 MERGE = 32
@@ -41,19 +45,47 @@ class WordTokens:
     """Ids of whole texts, word by word: the tokenizer drops white space and never joins across it, so each distinct word needs encoding once."""
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        # words are encoded many at a time with a mark between them, a word that has one id and is part of no other word encoded with it
+        one = self._one(MARK)
+        self.mark = one[0] if len(one) == 1 and self._one(f"{MARK} {MARK}") == one * 2 else None
+        self.blind = all(self._one(c) == self._one(c.lower()) for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
         self.reset()
 
+    def _one(self, word: str) -> list[int]:
+        return self.tokenizer.encode(word, add_special_tokens=False).ids
+
     def reset(self) -> None:
         self.keys = np.zeros(0, np.uint64)
         self.at = np.zeros(0, np.int64)
         self.n = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
 
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words, and the number of each word's ids."""
+        ids, n = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for k in range(0, len(words), TOGETHER):
+            part = words[k : k + TOGETHER]
+            text = f"\n{MARK}\n".join(part)
+            if self.mark is None or text.count(MARK) >= len(part):  # a word holds the mark
+                got = [self._one(w) for w in part]
+                ids.append(np.fromiter((i for x in got for i in x), np.uint32))
+                n.append(np.fromiter(map(len, got), np.int64, len(got)))
+                continue
+            got = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+            marks = got == self.mark
+            at = np.concatenate([[-1], np.flatnonzero(marks), [len(got)]])
+            ids.append(got[~marks])
+            n.append(np.diff(at) - 1)
+        return np.concatenate(ids), np.concatenate(n)
+
     def encode(self, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows, one after another, and each row's first id (length rows + 1)."""
+        if self.blind:
+            buf = tb.LOWER[buf]
         starts, ends, first = tb.word_bounds(buf, offs)
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(offs), np.int64)
@@ -61,22 +93,18 @@ class WordTokens:
         keys, one, back = np.unique(h, return_index=True, return_inverse=True)
         if len(self.keys) > REMEMBER:
             self.reset()
-        if len(self.keys):
-            place = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-            new = self.keys[place] != keys
-        else:
-            new = np.ones(len(keys), bool)
+        place = np.searchsorted(self.keys, keys)
+        new = np.ones(len(keys), bool)
+        inside = place < len(self.keys)
+        new[inside] = self.keys[place[inside]] != keys[inside]
         if new.any():
             raw = buf.tobytes()
             s, e = starts[one[new]], ends[one[new]]
-            words = [raw[i:j].decode("utf-8") for i, j in zip(s.tolist(), e.tolist(), strict=True)]
-            got = [x.ids for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-            n = np.fromiter(map(len, got), np.int64, len(got))
-            at = len(self.ids) + np.concatenate([[0], np.cumsum(n)[:-1]])
-            self.ids = np.concatenate([self.ids, np.fromiter((i for x in got for i in x), np.uint32, int(n.sum()))])
-            self.keys, self.at, self.n = (np.concatenate(x) for x in ((self.keys, keys[new]), (self.at, at), (self.n, n)))
-            order = np.argsort(self.keys, kind="stable")
-            self.keys, self.at, self.n = self.keys[order], self.at[order], self.n[order]
+            ids, n = self.encode_words([raw[i:j].decode("utf-8") for i, j in zip(s.tolist(), e.tolist(), strict=True)])
+            at = len(self.ids) + np.cumsum(n) - n
+            self.ids = np.concatenate([self.ids, ids])
+            where = place[new]
+            self.keys, self.at, self.n = (np.insert(x, where, y) for x, y in ((self.keys, keys[new]), (self.at, at), (self.n, n)))
             place = np.searchsorted(self.keys, keys)
         at, n = self.at[place][back], self.n[place][back]
         total = np.concatenate([[0], np.cumsum(n)])
@@ -98,7 +126,8 @@ class Windows:
 
     def __init__(self, round_: int, group: int, most: int, length: int):
         self.next, self.most, self.length = ((round_ << GROUP_BITS) + group) << ID_BITS, most, length
-        self.open: dict[int, list] = {}  # window -> [tokens, pieces]
+        self.open: dict[int, list[tuple]] = {}  # window -> pieces
+        self.used: list[tuple[int, int]] = []  # (tokens, - window) of the open windows, sorted: of equally full ones the first opened comes last
 
     def new(self) -> int:
         self.next += 1
@@ -107,34 +136,31 @@ class Windows:
     def add(self, item: list[tuple], n: int) -> Iterator[tuple]:
         """Places an item of n tokens; yields the rows of windows that this fills."""
         while n:
-            best, room, fullest = None, self.length + 1, (-1, None)
-            for w, (used, _) in self.open.items():
-                if n <= self.length - used < room:
-                    best, room = w, self.length - used
-                if used > fullest[0]:
-                    fullest = (used, w)
+            fits = bisect.bisect_right(self.used, (self.length - n, 1)) - 1
             rest: list[tuple] = []
-            if best is None and len(self.open) < self.most and n <= self.length:
-                best = self.new()
-                self.open[best] = [0, []]
-            elif best is None:  # the fullest is topped up with the head of the item, and emitted
-                best = fullest[1] if self.open else self.new()
-                self.open.setdefault(best, [0, []])
-                item, rest = split(item, self.length - self.open[best][0])
-            window = self.open[best]
-            window[0] += sum(len(p[2]) // 4 for p in item)
-            window[1].extend(item)
-            if window[0] == self.length:
-                yield from rows(best, self.open.pop(best)[1])
-            item, n = rest, sum(len(p[2]) // 4 for p in rest)
+            if fits >= 0:  # the window with the least room that is enough
+                used, w = self.used.pop(fits)
+            elif len(self.used) < self.most and n <= self.length:
+                used, w = 0, -self.new()
+            else:  # the fullest is topped up with the head of the item, and emitted
+                used, w = self.used.pop() if self.used else (0, -self.new())
+                item, rest = split(item, self.length - used)
+            put = min(n, self.length - used)
+            pieces = self.open.setdefault(-w, [])
+            pieces.extend(item)
+            if used + put == self.length:
+                yield from rows(-w, self.open.pop(-w))
+            else:
+                bisect.insort(self.used, (used + put, w))
+            item, n = rest, n - put
 
     def left(self) -> Iterator[tuple]:
-        for w, (_, pieces) in self.open.items():
+        for w, pieces in self.open.items():
             yield from rows(w, pieces, keep=True)
 
     def finish(self) -> Iterator[tuple]:
         """All open windows end to end, cut into whole sequences, and the remainder at powers of two."""
-        rest = [p for _, pieces in self.open.values() for p in pieces]
+        rest = [p for pieces in self.open.values() for p in pieces]
         n = sum(len(p[2]) // 4 for p in rest)
         while n:
             size = self.length if n >= self.length else 1 << (n.bit_length() - 1)
