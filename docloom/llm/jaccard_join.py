@@ -1,14 +1,16 @@
 """Exact Jaccard self-join of documents on distinct five-word shingles, by set relations.
 
 Index lists: each set's tokens are ordered rarest first, by a count sketch of fixed size taken over all documents; only the first n - ceil(0.8 n) + 1 are listed,
-since two sets that link must share one of them. Within a list, blocks of sets whose size rules a link out are skipped, and so is a pair
-whose place in the order bounds its overlap too low.
-Answers: in each list the set made of the most common tokens is compared first. What links to it takes over its answer (the class found so far), so that
-only pairs of different classes are still compared: of a thousand copies of a text, each is compared once and not with all others.
+since two sets that link must share one of them. A list is cut into blocks by the size of the sets and by the token's position in them. A set probes only
+the blocks in which some set could still reach the overlap it needs, from that size and that position on; all others are skipped unread.
+
+Answers: in each list the set made of the most common tokens (a hub) is compared first. A set that links to a hub takes over the hub's answers, which are then
+computed for all hubs, and is left with its own difference: by what its overlap with the hub leaves over, its overlap with any other set is bounded
+by the overlap that the two hubs were found to have. Only pairs of different classes that pass that bound are compared.
 
 Defined cases: null texts and texts without words have no shingles and link with nothing; texts under five words are one shingle; A-Z are lower-cased; texts
 may be of any length; equal sets are one set, and repeated rows link with each other by doc_id; ties go to the smaller doc_id; an empty table gives an
-empty table; other columns pass through.
+empty table; a null doc_id links with nothing; other columns pass through, whatever their names.
 """
 
 from __future__ import annotations
@@ -129,21 +131,21 @@ def _prefixes(levels: list[bytes]):
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        keep = []
+        n, m, both = [], [], []
         for at in range(0, batch.num_rows, 256):
             part = batch.slice(at, 256)
             sets = []
             for name in ("text_a", "text_b"):
                 sets.append([x for _lo, _hi, buf, offs in tb.slices(part.column(part.schema.get_field_index(name))) for x in shingle_sets(buf, offs)])
-            for k, (x, y) in enumerate(zip(*sets, strict=True)):
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                if both and 100 * both >= SIMILARITY * (len(x) + len(y) - both):
-                    keep.append(at + k)
-        yield batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
+            for x, y in zip(*sets, strict=True):
+                n.append(len(x))
+                m.append(len(y))
+                both.append(len(np.intersect1d(x, y, assume_unique=True)))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c, pa.int32()) for c in (n, m, both))], names=["a", "b", "n", "m", "both"])
 
 
-def verified(pairs: DataFrame, docs: DataFrame, name: str) -> DataFrame:
-    """Of candidate pairs (a, b), those that link, by their whole texts."""
+def compared(pairs: DataFrame, docs: DataFrame, name: str) -> DataFrame:
+    """(a, b, n, m, both) of candidate pairs (a, b): the sizes of their sets and of the intersection, by their whole texts."""
     pairs = stash(pairs, name + "-pairs")
     ids = pairs.select(F.col("a").alias("_v")).union(pairs.select("b")).distinct()
     ids = stash(ids, name + "-ids")
@@ -152,13 +154,58 @@ def verified(pairs: DataFrame, docs: DataFrame, name: str) -> DataFrame:
     texts = docs.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("_v"), "left_semi")
     a = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     b = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-    return stash(pairs.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b").mapInArrow(_verify, "a long, b long"), name + "-links")
+    return stash(pairs.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b").mapInArrow(_verify, "a long, b long, n int, m int, both int"), name + "-links")
+
+
+def _need(n: str, m: str) -> str:
+    """The intersection that sets of these sizes need."""
+    return f"ceil({SIMILARITY} * ({n} + {m}) / {100 + SIMILARITY}.0)"
 
 
-_NEED = f"ceil({SIMILARITY} * (n + m) / {100 + SIMILARITY}.0)"
+_LINK = f"both > 0 AND 100 * both >= {SIMILARITY} * (n + m - both)"
+_NEED = _need("n", "m")
 _SIZES = f"100 * least(n, m) >= {SIMILARITY} * greatest(n, m)"
 #: What two sets share beyond their lists is at most the longer rest.
 _SHARED = f"c + greatest(n - (n - ceil({SIMILARITY} * n / 100.0) + 1), m - (m - ceil({SIMILARITY} * m / 100.0) + 1)) >= {_NEED}"
+#: Blocks: sizes by powers of RATIO, positions by powers of 4.
+RATIO = 100 / SIMILARITY
+
+
+def _size_block(n: str) -> str:
+    return f"CAST(floor(ln({n}) / ln({RATIO})) AS INT)"
+
+
+def _place_block(pos: str) -> str:
+    return f"CAST(floor(log2({pos} + 1) / 2) AS INT)"
+
+
+def probes(entries: DataFrame) -> DataFrame:
+    """Each entry (token, n, pos ...) with the blocks (size, place) that it has to read: those of sets no larger than its own, where its position and theirs still allow the overlap."""
+    sized = entries.withColumn("size", F.explode(F.expr(f"sequence({_size_block(f'ceil({SIMILARITY} * n / 100.0)')}, {_size_block('n')})")))
+    edges = sized.withColumn("least_m", F.expr(f"greatest(ceil({SIMILARITY} * n / 100.0), floor(pow({RATIO}, size)) - 1)")).withColumn("most_m", F.expr(f"least(n, ceil(pow({RATIO}, size + 1)))"))
+    limit = f"most_m - {_need('n', 'most_m')}"
+    open_ = edges.filter(f"least_m <= most_m AND pos <= n - {_need('n', 'least_m')} AND {limit} >= 0")
+    return open_.withColumn("place", F.explode(F.expr(f"sequence(0, {_place_block(limit)})"))).drop("least_m", "most_m")
+
+
+def index(entries: DataFrame) -> DataFrame:
+    """The entries that a set of the same size or a larger one may meet, with their block."""
+    return entries.filter(f"pos <= n - {_need('n', 'n')}").withColumn("size", F.expr(_size_block("n"))).withColumn("place", F.expr(_place_block("pos")))
+
+
+def candidates(entries: DataFrame, rows: DataFrame, which: str = "true") -> DataFrame:
+    """(a, b, n, m) of pairs of different classes that may link, by the lists (token, doc, n, pos, most, class, hub)."""
+    mixed = entries.groupBy("token").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).filter("lo <> hi").select("token")
+    left = entries.join(mixed, "token")
+    right = index(left).select("token", "size", "place", *[F.col(c).alias(c + "2") for c in ("doc", "pos", "most", "class", "hub")], F.col("n").alias("m"))
+    met = probes(left).join(right, ["token", "size", "place"]).filter("class <> class2 AND (n > m OR (n = m AND doc > doc2))").filter(which)
+    # a listed token that no other set lists can't be shared with a set whose list ends later, though it may stand in the rest of one whose list ends
+    # sooner: of two sets, the one whose list ends first shares at most its `most`
+    met = met.filter(_SIZES).filter(f"greatest(most, most2) >= {_NEED} AND pos <= n - {_NEED} AND pos2 <= m - {_NEED}")
+    pairs = met.select("doc", "doc2", "n", "m").distinct()
+    listed_of = rows.groupBy(F.col("doc").alias("d")).agg(F.collect_list("token").alias("l"))  # at most a fifth of a set
+    both = pairs.join(listed_of, F.col("doc") == F.col("d")).select("doc", "doc2", "n", "m", F.col("l").alias("l1")).join(listed_of, F.col("doc2") == F.col("d"))
+    return both.withColumn("c", F.size(F.array_intersect("l1", "l"))).filter(_SHARED).select(F.col("doc").alias("a"), F.col("doc2").alias("b"), "n", "m")
 
 
 def jaccard_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -173,32 +220,40 @@ def jaccard_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     firsts = sets.filter("n > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("b"), F.count(F.lit(1)).alias("k")).filter("k > 1")
     copies = sets.filter("n > 0").join(firsts, ["s1", "s2"]).select(F.col("doc_id").alias("a"), "b")
 
-    # index lists of two sets or more, with the set to compare first
-    listed = docs.mapInArrow(_prefixes(levels), "token long, doc long, n int, pop int, pos int")
+    # index lists of two sets or more, with the hub to compare first
+    listed = docs.filter("doc_id IS NOT NULL").mapInArrow(_prefixes(levels), "token long, doc long, n int, pop int, pos int")
     lists = listed.groupBy("token").agg(F.count(F.lit(1)).alias("k"), F.max(F.struct("pop", (-F.col("doc")).alias("d"), "n")).alias("top")).filter("k > 1")
     rows = stash(listed.join(lists.select("token", (-F.col("top.d")).alias("pivot"), F.col("top.n").alias("m")), "token").select("token", "doc", "n", "pos", "pivot", "m"), "lists")
 
     near = rows.filter("doc <> pivot").filter(_SIZES).groupBy("doc", "pivot", "n", "m").agg(F.count(F.lit(1)).alias("c")).filter(_SHARED)
     best = near.groupBy("doc").agg(F.max(F.struct("c", (-F.col("pivot")).alias("p"))).alias("x")).select(F.col("doc").alias("a"), (-F.col("x.p")).alias("b"))
-    links = verified(best, docs, "first").union(copies)
-    classes = components(links)
-
-    # lists that still hold sets of different classes
-    # a listed token that no other set lists can't be shared with a set whose list ends later, though it may stand in the rest of one whose list ends
-    # sooner: of two sets, the one whose list ends first shares at most its `most`
-    most = rows.groupBy(F.col("doc").alias("d")).agg((F.max("n") - F.expr(f"max(n - ceil({SIMILARITY} * n / 100.0) + 1)") + F.count(F.lit(1))).cast("int").alias("most"))
-    of_doc = most.join(classes, F.col("d") == F.col("v"), "left").select("d", "most", F.coalesce("c", "d").alias("class"))
-    with_class = stash(rows.select("token", "doc", "n", "pos").join(of_doc, F.col("doc") == F.col("d")).select("token", "doc", "n", "pos", "most", "class"), "classed")
-    mixed = with_class.groupBy("token").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).filter("lo <> hi").select("token")
-    left = with_class.join(mixed, "token")
-    right = left.select("token", F.col("doc").alias("doc2"), F.col("n").alias("m"), F.col("pos").alias("pos2"), F.col("most").alias("most2"), F.col("class").alias("class2"))
-    # two sets that link share a token among the first n - need + 1 of either
-    apart = left.join(right, "token").filter("class < class2").filter(_SIZES).filter(f"greatest(most, most2) >= {_NEED} AND pos <= n - {_NEED} AND pos2 <= m - {_NEED}")
-    pairs = apart.select("doc", "doc2", "n", "m").distinct()
-    listed_of = rows.groupBy(F.col("doc").alias("d")).agg(F.collect_list("token").alias("l"))  # at most a fifth of a set
-    both = pairs.join(listed_of, F.col("doc") == F.col("d")).select("doc", "doc2", "n", "m", F.col("l").alias("l1")).join(listed_of, F.col("doc2") == F.col("d"))
-    rest = both.withColumn("c", F.size(F.array_intersect("l1", "l"))).filter(_SHARED).select(F.col("doc").alias("a"), F.col("doc2").alias("b"))
-    more = verified(rest, docs, "rest")
+    star = compared(best, docs, "first").filter(_LINK)
+    classes = components(star.select("a", "b").union(copies))
+
+    # each set's hub, and how many of its tokens the hub lacks; a set without a link to one is its own
+    follows = star.groupBy("a").agg(F.first(F.struct("b", (F.col("n") - F.col("both")).alias("away"))).alias("x")).select("a", F.col("x.b").alias("of"), "x.away")
+    hubs = star.select(F.col("b").alias("h")).distinct()
+    most = rows.groupBy(F.col("doc").alias("d")).agg((F.max("n") - F.expr(f"max(n - ceil({SIMILARITY} * n / 100.0) + 1)") + F.count(F.lit(1))).cast("int").alias("most"), F.max("n").alias("size"))
+    of_doc = most.join(follows, F.col("d") == F.col("a"), "left").join(hubs, F.col("d") == F.col("h"), "left")
+    of_doc = stash(of_doc.select("d", "most", "size", F.when(F.col("h").isNotNull(), F.col("d")).otherwise(F.coalesce("of", "d")).alias("hub"), F.when(F.col("h").isNotNull(), 0).otherwise(F.coalesce("away", F.lit(0))).alias("away")), "hubs")
+
+    def entries(found: DataFrame, which: str) -> DataFrame:
+        one = of_doc.filter(which).join(found, F.col("d") == F.col("v"), "left").select("d", "most", "hub", F.coalesce("c", "d").alias("class"))
+        return rows.select("token", "doc", "n", "pos").join(one, F.col("doc") == F.col("d")).select("token", "doc", "n", "pos", "most", "hub", "class")
+
+    # the answers of all hubs
+    answers = compared(candidates(stash(entries(classes, "hub = d"), "hub-lists"), rows).select("a", "b"), docs, "hub")
+    classes = components(classes.select(F.col("v").alias("a"), F.col("c").alias("b")).union(answers.filter(_LINK).select("a", "b")))
+
+    # what followers add to them: two hubs of different classes share what was found, or too little to link
+    rest = candidates(stash(entries(classes, "true"), "classed"), rows, "doc <> hub OR doc2 <> hub2")
+    side = lambda k: of_doc.select(F.col("d").alias(k), F.col("hub").alias("hub_" + k), F.col("away").alias("away_" + k))
+    size = lambda k: of_doc.select(F.col("d").alias("hub_" + k), F.col("size").alias("size_" + k))
+    known = answers.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi"), F.col("both").alias("shared")).distinct()
+    rest = rest.join(side("a"), "a").join(side("b"), "b").join(size("a"), "hub_a").join(size("b"), "hub_b").withColumn("lo", F.least("hub_a", "hub_b")).withColumn("hi", F.greatest("hub_a", "hub_b"))
+    bound = F.coalesce("shared", F.expr(f"{_need('size_a', 'size_b')} - 1"))
+    rest = rest.join(known, ["lo", "hi"], "left").filter(bound + F.col("away_a") + F.col("away_b") >= F.expr(_NEED))
+    more = compared(rest.select("a", "b"), docs, "rest").filter(_LINK).select("a", "b")
     # classes found so far stand for their links
     final = components(classes.select(F.col("v").alias("a"), F.col("c").alias("b")).union(more))
     return sets.join(final, F.col("doc_id") == F.col("v"), "left").select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("c", "doc_id").alias("component_id"))
@@ -206,14 +261,12 @@ def jaccard_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
 
 def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """docs without those that link, directly or over others, with one of a smaller doc_id."""
-    gone = stash(jaccard_classes(docs, text, doc_id).filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")), "gone")
+    gone = stash(jaccard_classes(docs, text, doc_id).filter("doc_id <> component_id").select(F.col("doc_id").alias("gone")), "gone")
     if gone.count() <= BROADCAST_IDS:
         gone = F.broadcast(gone)
-    return docs.join(gone, docs[doc_id] == gone["_gone"], "left_anti")
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"), F.col(f"`{doc_id}`").cast("long").alias("id"))
+    return whole.join(gone, F.col("id") == F.col("gone"), "left_anti").select("whole.*")
 
 
 def op9_jaccard_join(spark, sf_dir: str) -> DataFrame:
     return jaccard_classes(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-
-
-OP9_SQL = None

@@ -77,3 +77,20 @@ def test_components(spark):
     links = [(k, k + 1) for k in range(50)] + [(100, 90), (90, 95), (7, 7), (200, 200)]
     got = dict(components(spark.createDataFrame(links, "a long, b long")).collect())
     assert got == {**dict.fromkeys(range(51), 0), 90: 90, 95: 90, 100: 90, 200: 200}
+
+
+def test_chains_repeated_rows_and_clashing_columns(spark):
+    """Edits add up along a chain, so that hubs and followers of different hubs lie around the threshold; one text is hot."""
+    rnd = random.Random(9)
+    docs, w = [], [f"c{k}" for k in range(120)]
+    for k in range(40):
+        for _ in range(2):
+            w[rnd.randrange(len(w))] = f"e{rnd.randrange(10**6)}"
+        docs.append((k, " ".join(w)))
+    docs += [(100 + k, " ".join(w[:110] + [f"z{k}"] * (k % 3))) for k in range(60)]
+    docs += [(5, docs[5][1]), (300, None), (300, None)]
+    df = spark.createDataFrame([(*d, "x", 1, 2) for d in docs], "doc_id long, text string, whole string, gone int, id int").repartition(6)
+    assert {tuple(r) for r in jaccard_classes(df).collect()} == brute(docs)
+    kept = one_of_each(df)
+    assert kept.columns == df.columns and {(r.whole, r.gone, r.id) for r in kept.collect()} == {("x", 1, 2)}
+    assert {r.doc_id for r in kept.collect()} == {c for _, _, c in brute(docs)}
