@@ -22,6 +22,6 @@ def test_stages(spark, tmp_path):
     assert ids[2] == ids[1]
     assert all(r.n_chars == len(r.text) for r in outs[2].collect())
     assert ids[3] == {r.component_id for r in jaccard_classes(outs[2]).collect()}
-    assert ids[4] == ids[3] - {r._id for r in leaks(outs[3], spark.read.parquet(f"{SF}/benchmark.parquet")).collect()}
+    assert ids[4] == ids[3] - {r.doc_id for r in leaks(outs[3], spark.read.parquet(f"{SF}/benchmark.parquet")).collect()}
     assert ids[5] == ids[4]
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "line_dedup", "jaccard_join", "decontamination", "packing"]
