@@ -1,8 +1,9 @@
 """Quality rules as weak supervision, in DataFrame functions only.
 
 Each rule votes on a document (good, bad) or abstains. Expectation-maximisation estimates, for either class, how often each rule votes which way:
-its accuracies; the posterior probability of the class "good" then decides, in place of a demand that all rules pass.
-The rules have few joint outcomes (3 ** rules at most), so the fit runs over a histogram of outcomes that covers every document.
+its accuracies; the posterior probability of the class "good" then decides, in place of a demand that all rules pass. Nothing bounds the estimates: a rule
+that turns out to be unreliable loses its weight. The rules have few joint outcomes (3 ** rules at most), so the fit runs over a histogram of outcomes
+that covers every document.
 
 Defined cases: null and empty texts have no words and fail the base; texts may be of any length; repeated rows are judged alike; an empty table gives
 an empty table (the fit then rests on its prior); other columns pass through.
@@ -15,17 +16,16 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import shared_dir, stash
+from .store import stash
 
-ROUNDS = 12
-#: Prior share of good documents, and for the first round the posterior of documents with and without a "bad" vote.
+#: Rounds of the fit; on the given tables the estimates move by less than 1e-6 after 25 to 50.
+ROUNDS = 60
+#: Prior share of good documents (of the weight of one), and for the first round the posterior of documents with and without a "bad" vote.
 PRIOR, WITH_BAD, WITHOUT_BAD = 0.8, 0.05, 0.95
 SMOOTH = 1.0
-#: Rules are better than chance: on good documents a rule votes "bad" at most so often, on bad ones at least so often.
-FALSE_ALARM, CAUGHT = 0.002, 0.1
 
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-MORE = ("n_upper", "n_bangs", "n_stops", "n_lines")
+MORE = ("n_upper", "n_bangs", "n_stops", "n_letters", "n_lines")
 
 #: name, when it votes "bad", when it votes "good"; over the counts above, in words that Spark and DuckDB share. Else it abstains.
 RULES = (
@@ -36,6 +36,7 @@ RULES = (
     ("bangs", "5 * n_bangs > n_words", "50 * n_bangs < n_words"),
     ("word_length", "word_chars > 15 * n_words OR 2 * word_chars < 5 * n_words", "word_chars < 10 * n_words AND word_chars > 3 * n_words"),
     ("stops", "n_words >= 50 AND 100 * n_stops < n_words", "30 * n_stops > n_words"),
+    ("letters", "100 * n_letters < 90 * word_chars", "100 * n_letters > 94 * word_chars"),
 )
 
 #: Up to so many distinct repeated windows of a text are looked up one by one; beyond it windows are sorted with their places. Both count the same.
@@ -59,6 +60,7 @@ def counts(docs: DataFrame, text: str = "text") -> DataFrame:
             "n_upper": F.expr(only("A-Z")),
             "n_bangs": F.expr(only("!")),
             "n_stops": F.expr(only(".?;:")),
+            "n_letters": F.expr(only(r"\\p{L}")),
             "n_lines": F.size("_l").cast("long"),
             "n_dup_lines": F.expr("CAST(size(_l) - size(array_distinct(_l)) AS BIGINT)"),
             "_h": F.expr("CASE WHEN size(_w) >= 3 THEN transform(sequence(0, size(_w) - 3), i -> xxhash64(_w[i], _w[i + 1], _w[i + 2])) END"),
@@ -75,44 +77,43 @@ def votes(counted: DataFrame) -> DataFrame:
     return counted.withColumns({f"v_{name}": F.expr(f"CASE WHEN {bad} THEN 0 WHEN {good} THEN 1 ELSE -1 END") for name, bad, good in RULES})
 
 
+def histogram(counted: DataFrame) -> DataFrame:
+    """(n, v: the rules' votes in order) of documents with words; 3 ** len(RULES) rows at most, whatever the input."""
+    # counts stand behind a grouping: the filter, pushed below it, would compute them all in itself
+    names = [f"v_{r[0]}" for r in RULES]
+    table = votes(counted).groupBy(*names, (F.col("n_words") > 0).alias("words")).agg(F.count(F.lit(1)).cast("double").alias("n"))
+    return table.select("n", F.array(*names).alias("v"), "words")
+
+
+#: Over the histogram as an array of cells (n, v): the posterior of each cell from a model m = [prior, then for each rule how often it votes bad if good, if bad],
+#: and the next model from these posteriors p.
+_K = len(RULES)
+_POSTERIOR = f"""transform(cells, x -> 1 / (1 + exp(-aggregate(sequence(0, {_K - 1}), ln(m[0] / (1 - m[0])),
+  (s, k) -> s + CASE x.v[k] WHEN 0 THEN ln(m[2 * k + 1] / m[2 * k + 2]) WHEN 1 THEN ln((1 - m[2 * k + 1]) / (1 - m[2 * k + 2])) ELSE 0D END))))"""
+_SUM = "aggregate(zip_with(cells, p, (x, y) -> {}), 0D, (a, b) -> a + b)"
+_SHARE = f"({_SUM.format('if(x.v[k] = 0, x.n * {y}, 0D)')} + {SMOOTH}D) / ({_SUM.format('if(x.v[k] >= 0, x.n * {y}, 0D)')} + {2 * SMOOTH}D)"
+_MODEL = f"""concat(array(({_SUM.format('x.n * y')} + {PRIOR}D) / ({_SUM.format('x.n')} + 1D)),
+  flatten(transform(sequence(0, {_K - 1}), k -> array({_SHARE.replace('{y}', 'y')}, {_SHARE.replace('{y}', '(1 - y)')}))))"""
+_FIRST = f"transform(cells, x -> if(array_contains(x.v, 0), {WITH_BAD}D, {WITHOUT_BAD}D))"
+
+
 def fit(counted: DataFrame, rounds: int = ROUNDS) -> dict:
-    """{"prior": share of good, rule: {vote: (its probability among the rule's votes if good, if bad)}}, estimated over all documents with words.
+    """{"prior": share of good, rule: (how often it votes bad, where it votes, if good, if bad)}, estimated over all documents with words.
 
-    Each round is one aggregation over the histogram of joint votes, which has 3 ** len(RULES) rows at most; it returns three rows a rule.
+    The rounds are one expression over the histogram, which has 3 ** len(RULES) cells at most; one row comes back.
     """
-    names = [f"v_{r[0]}" for r in RULES]
-    shared_dir(counted.sparkSession)  # where checkpoints go
-    # the filter stands behind the checkpoint: pushed below, it would compute all counts in itself
-    table = votes(counted).groupBy(*names, (F.col("n_words") > 0).alias("words")).agg(F.count(F.lit(1)).alias("n")).coalesce(1).checkpoint().filter("words")
-    any_bad = F.least(*[F.abs(F.col(c)) for c in names]) == 0
-    post, model = F.when(any_bad, WITH_BAD).otherwise(WITHOUT_BAD), {}
-    for _ in range(rounds):
-        cells = F.explode(F.array(F.struct(F.lit("").alias("rule"), F.lit(0).alias("vote")), *[F.struct(F.lit(c).alias("rule"), F.col(c).alias("vote")) for c in names]))
-        sums = table.select("n", (F.col("n") * post).alias("g"), cells.alias("c")).groupBy("c.rule", "c.vote").agg(F.sum("n"), F.sum("g")).collect()
-        model = estimate({(rule, vote): (n, g) for rule, vote, n, g in sums}, names)
-        post = posterior(model)
-    return model
-
-
-def estimate(sums: dict, names: list[str]) -> dict:
-    n, g = sums.get(("", 0), (0, 0.0))
-    model: dict = {"prior": (g + PRIOR) / (n + 1)}
-    for c in names:
-        model[c] = {}
-        (zn, zg), (pn, pg) = sums.get((c, 0), (0, 0.0)), sums.get((c, 1), (0, 0.0))
-        for v, of_all, of_good in ((0, zn, zg), (1, pn, pg)):  # of those where the rule votes
-            good, bad = (of_good + SMOOTH) / (zg + pg + 2 * SMOOTH), (of_all - of_good + SMOOTH) / (zn + pn - zg - pg + 2 * SMOOTH)
-            model[c][v] = (min(good, FALSE_ALARM), max(bad, CAUGHT)) if v == 0 else (good, bad)
-    return model
+    cells = histogram(counted).agg(F.collect_list(F.when(F.col("words"), F.struct("n", "v"))).alias("cells"))
+    bind = lambda p, body: f"transform(array({p}), p -> {body})[0]"
+    m = cells.select(F.expr(f"aggregate(sequence(2, {rounds}), {bind(_FIRST, _MODEL)}, (m, r) -> {bind(_POSTERIOR, _MODEL)})").alias("m")).first()["m"]
+    return {"prior": m[0]} | {f"v_{r[0]}": (m[2 * k + 1], m[2 * k + 2]) for k, r in enumerate(RULES)}
 
 
 def posterior(model: dict):
     """Column: probability that a document is good, from its votes."""
-    # arrays of literals are handed to generated code by reference, so every round runs the same compiled code
-    odds = F.get(F.array(F.lit(math.log(model["prior"] / (1 - model["prior"])))), F.lit(0) * F.col(next(c for c in model if c != "prior")))
+    odds = F.lit(math.log(model["prior"] / (1 - model["prior"])))
     for c, by in model.items():
         if c != "prior":
-            odds = odds + F.get(F.array(F.lit(0.0), *[F.lit(math.log(by[v][0] / by[v][1])) for v in (0, 1)]), F.col(c) + 1)
+            odds = odds + F.when(F.col(c) == 0, math.log(by[0] / by[1])).when(F.col(c) == 1, math.log((1 - by[0]) / (1 - by[1]))).otherwise(0.0)
     return 1 / (1 + F.exp(-odds))
 
 
@@ -123,13 +124,11 @@ def judge(counted: DataFrame, model: dict) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
-    """docs without those that are rejected; counts are computed for the fit and again for the filter, so that no text is shuffled."""
-    model = fit(counts(docs.select(F.col(text).cast("string").alias("text"))))
-    # the row travels as one value, so that none of its columns can clash with a count
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_whole"), F.col(text).cast("string").alias("text"))
-    # a row number is not deterministic, so the filter isn't pushed below the counts, where each mention of a count would compute it anew
-    judged = judge(counts(whole), model).withColumn("_row", F.monotonically_increasing_id()).filter("kept AND _row >= 0")
-    return judged.select(*[F.col(f"_whole.`{c}`").alias(c) for c in docs.columns])
+    """docs without those that are rejected; a null row of a clashing column changes nothing, the row travels as one value."""
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"), F.col(f"`{text}`").cast("string").alias("text"))
+    # counted once: the rows are kept with their votes' counts, of which only the narrow ones are read for the fit
+    counted = stash(counts(whole).drop("text"), "counted")
+    return judge(counted, fit(counted)).filter("kept").select("whole.*")
 
 
 def op2_quality_rules(spark, sf_dir: str) -> DataFrame:
@@ -150,7 +149,7 @@ rep AS (SELECT doc_id, sum(least(3, coalesce(nxt - i, 3))) AS n FROM (SELECT doc
 ln AS (SELECT doc_id, list_filter(string_split(t, chr(10)), lambda x: length(translate(x, ' ' || chr(9) || chr(11) || chr(12) || chr(13), '')) > 0) AS l FROM d)
 SELECT d.doc_id, len(w.w)::BIGINT AS n_words, length(translate(t, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), ''))::BIGINT AS word_chars, {gone("#*$%&|<>")} AS n_symbols,
   (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words, {gone("ABCDEFGHIJKLMNOPQRSTUVWXYZ")} AS n_upper, {gone("!")} AS n_bangs, {gone(".?;:")} AS n_stops,
-  len(l)::BIGINT AS n_lines
+  length(regexp_replace(t, '[^\\p{{L}}]+', '', 'g'))::BIGINT AS n_letters, len(l)::BIGINT AS n_lines
 FROM d JOIN w USING (doc_id) JOIN ln USING (doc_id) LEFT JOIN rep USING (doc_id)"""
 
 
@@ -164,15 +163,13 @@ def judge_sql(counted: str) -> str:
     ]
 
     def odds(m: str) -> str:
-        return f"ln({m}.prior / (1 - {m}.prior))" + "".join(f" + CASE {c} " + " ".join(f"WHEN {v} THEN ln({m}.{c}_{k}_g / {m}.{c}_{k}_b)" for v, k in ((1, "p"), (0, "z"))) + " ELSE 0 END" for c in names)
+        return f"ln({m}.prior / (1 - {m}.prior))" + "".join(f" + CASE {c} WHEN 0 THEN ln({m}.{c}_g / {m}.{c}_b) WHEN 1 THEN ln((1 - {m}.{c}_g) / (1 - {m}.{c}_b)) ELSE 0 END" for c in names)
 
     for r in range(ROUNDS):
         cols = [f"(coalesce(sum(n * p), 0) + {PRIOR}) / (coalesce(sum(n), 0) + 1) AS prior"]
         for c in names:
-            for v, k in ((1, "p"), (0, "z")):
-                good = f"(coalesce(sum(n * p) FILTER (WHERE {c} = {v}), 0) + {SMOOTH}) / (coalesce(sum(n * p) FILTER (WHERE {c} >= 0), 0) + {2 * SMOOTH})"
-                bad = f"(coalesce(sum(n * (1 - p)) FILTER (WHERE {c} = {v}), 0) + {SMOOTH}) / (coalesce(sum(n * (1 - p)) FILTER (WHERE {c} >= 0), 0) + {2 * SMOOTH})"
-                cols.append(f"least({good}, {FALSE_ALARM}) AS {c}_{k}_g, greatest({bad}, {CAUGHT}) AS {c}_{k}_b" if v == 0 else f"{good} AS {c}_{k}_g, {bad} AS {c}_{k}_b")
+            for p, k in (("p", "g"), ("(1 - p)", "b")):
+                cols.append(f"(coalesce(sum(n * {p}) FILTER (WHERE {c} = 0), 0) + {SMOOTH}) / (coalesce(sum(n * {p}) FILTER (WHERE {c} >= 0), 0) + {2 * SMOOTH}) AS {c}_{k}")
         ctes.append(f"m{r} AS MATERIALIZED (SELECT {', '.join(cols)} FROM q{r})")
         if r < ROUNDS - 1:
             ctes.append(f"q{r + 1} AS MATERIALIZED (SELECT hist.*, 1 / (1 + exp(-({odds(f'm{r}')}))) AS p FROM hist, m{r})")
