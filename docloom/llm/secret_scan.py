@@ -1,11 +1,13 @@
 """Secret scans over a trigram inverted index, in DataFrame functions only.
 
-From each rule's regular expression a Boolean query over trigrams is derived: what every match must contain. The index has, for each trigram that some
-query names, the documents whose lower-cased text holds it; postings are intersected and united as each query says, and only the candidates
-are searched with the rule's expression. A rule without mandatory trigrams (runs of hexadecimal digits) scans every text.
-
-Defined cases: null and empty texts have no spans; texts may be of any length; repeated rows (of one id, too) are each searched; an empty table gives an
-empty table; other columns pass through; matches are leftmost and do not overlap within one rule; ties in start are ordered as the rules are listed.
+From each rule's regular expression a Boolean query over trigrams is derived: what every match must contain, of each literal the two trigrams with the
+rarest letters. The index has, for each trigram that some query names, the texts whose lower-cased form holds it, by the text's hash: equal texts have one
+posting, a null id is no obstacle, and a hash shared by chance only adds a candidate. Postings are intersected and united as each query says, and only the
+candidates are searched with the rule's expression. A rule without mandatory trigrams (runs of hexadecimal digits) scans every text.
+
+Defined cases: null and empty texts have no spans; texts may be of any length; repeated rows (of one id or of a null id, too) are each searched; an empty
+table gives an empty table; other columns pass through, whatever their names; matches are leftmost and do not overlap within one rule; ties in start are
+ordered as the rules are listed.
 """
 
 from __future__ import annotations
@@ -59,9 +61,14 @@ def _join(kind: str, parts) -> object:
     return next(iter(out)) if len(out) == 1 else (kind, frozenset(out))
 
 
+#: Letters from common to rare; all other characters are rarer.
+_LETTERS = "etaoinshrdlucmfwypvbgkjqxz"
+
+
 def _of_text(s: str) -> object:
-    """Every third trigram and the last: they cover the string, and a weaker demand loses nothing."""
-    return _join("and", [s[i : i + 3] for i in sorted({*range(0, len(s) - 2, 3), len(s) - 3}) if i >= 0])
+    """The two rarest trigrams by their letters, apart from each other if they can be; a weaker demand loses nothing."""
+    at = sorted(range(len(s) - 2), key=lambda i: -sum(_LETTERS.find(c) % 27 for c in s[i : i + 3]))
+    return _join("and", [s[i : i + 3] for i in [*at[:1], *[i for i in at if abs(i - at[0]) > 2][:1]]])
 
 
 _MOST_STRINGS = 16
@@ -123,9 +130,12 @@ def trigrams(query: object) -> set[str]:
     return set() if query is True else {query} if isinstance(query, str) else set().union(*(trigrams(x) for x in query[1]))
 
 
+WORD = 62
+
+
 def _test(query: object, bit: dict[str, int]) -> Column:
     if isinstance(query, str):
-        return F.col("_have").bitwiseAND(F.lit(1 << bit[query])) != 0
+        return F.col(f"have{bit[query] // WORD}").bitwiseAND(F.lit(1 << bit[query] % WORD)) != 0
     tests = [_test(x, bit) for x in sorted(query[1], key=str)]
     out = tests[0]
     for t in tests[1:]:
@@ -133,32 +143,30 @@ def _test(query: object, bit: dict[str, int]) -> Column:
     return out
 
 
-def candidates(docs: DataFrame, rules: tuple[Rule, ...], text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """(doc_id, rules): bit k is set where rule k's query holds. Postings are (trigram, document) rows; their intersection is one bitwise sum a document."""
+def postings(texts: DataFrame, names: list[str]) -> DataFrame:
+    """The index: (key, trigram: its place in names) for each text (key, text) that holds it."""
+    low = texts.select("key", F.lower("text").alias("low"))
+    held = low.select("key", F.filter(F.array(*[F.when(F.contains("low", F.lit(t)), F.lit(k)) for k, t in enumerate(names)]), lambda x: x.isNotNull()).alias("held"))
+    return held.filter(F.size("held") > 0).select("key", F.explode("held").alias("trigram"))
+
+
+def candidates(texts: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
+    """(of, rules): the keys of texts (key, text), and which rules' queries hold. Postings of a text are put together as bits, so that a query is a few bit operations."""
     asked = {k: q for k, r in enumerate(rules) if (q := trigram_query(r.pattern)) is not True}
     names = sorted(set().union(*(trigrams(q) for q in asked.values())))
-    bit = {t: k % 60 for k, t in enumerate(names)}
-    if len(names) > 60:
-        raise ValueError("more than 60 trigrams: pass fewer rules at a time")
-    index = (
-        docs.select(F.col(doc_id).alias("_id"), F.lower(F.col(text)).alias("_low"))
-        .select("_id", F.filter(F.array(*[F.when(F.contains("_low", F.lit(t)), F.lit(1 << bit[t])) for t in names]), lambda x: x.isNotNull()).alias("_post"))
-        .filter(F.size("_post") > 0)
-        .select("_id", F.explode("_post").alias("_trigram"))
-    )
-    have = index.groupBy("_id").agg(F.bit_or("_trigram").alias("_have"))
-    mask = None
-    for k, q in asked.items():
-        one = F.when(_test(q, bit), F.lit(1 << k)).otherwise(F.lit(0))
-        mask = one if mask is None else mask.bitwiseOR(one)
-    return have.select(F.col("_id"), mask.cast("long").alias("_rules")).filter("_rules <> 0")
+    bit = {t: k for k, t in enumerate(names)}
+    here = lambda w: F.expr(f"if(trigram div {WORD} = {w}, shiftleft(1L, trigram % {WORD}), 0L)")
+    index = postings(texts, names) if names else texts.select("key", F.lit(0).alias("trigram")).limit(0)
+    have = index.groupBy("key").agg(*[F.bit_or(here(w)).alias(f"have{w}") for w in range(len(names) // WORD + 1)])
+    found = [F.when(_test(q, bit), F.lit(k)) for k, q in asked.items()]
+    return have.select(F.col("key").alias("of"), F.filter(F.array(*found) if found else F.array(F.lit(None).cast("int")), lambda x: x.isNotNull()).alias("rules")).filter(F.size("rules") > 0)
 
 
 def _spans(rule: Rule, k: int) -> Column:
     """Array of (start, k, end): the text is split at the matches, so places are sums of the lengths of gaps and matches."""
     p = F.lit(rule.pattern)
     found = F.transform(
-        F.array(F.struct(F.regexp_extract_all("_text", p, F.lit(0)).alias("m"), F.regexp_extract_all("_text", p, F.lit(rule.group)).alias("v"), F.split("_text", rule.pattern, -1).alias("g"))),
+        F.array(F.struct(F.regexp_extract_all("text", p, F.lit(0)).alias("m"), F.regexp_extract_all("text", p, F.lit(rule.group)).alias("v"), F.split("text", rule.pattern, -1).alias("g"))),
         lambda x: F.aggregate(
             F.arrays_zip(x["m"].alias("m"), x["v"].alias("v"), F.slice(x["g"], 1, F.greatest(F.size(x["m"]), F.lit(0))).alias("g")),
             F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<s:int,k:int,e:int>>").alias("out")),
@@ -185,22 +193,25 @@ _NARROW = {"hex": r"[0-9a-f]{24,}+"}
 _NONE = "array<struct<s:int,k:int,e:int>>"
 
 
-def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", doc_id: str = "doc_id", broadcast_candidates: int = BROADCAST_CANDIDATES) -> DataFrame:
-    """docs with _spans: array of (s, k, e), the start, rule number and end of each match in code points, sorted."""
-    found = stash(candidates(docs, rules, text, doc_id), "secrets")
+def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", broadcast_candidates: int = BROADCAST_CANDIDATES) -> DataFrame:
+    """(row, spans): each row's other columns as one struct, and an array of (s, k, e): the start, rule number and end of each match in code points, sorted."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c != text]
+    texts = docs.select(F.struct(*rest).alias("row"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
+    texts = texts.withColumn("key", F.xxhash64("text"))
+    found = stash(candidates(texts.select("key", "text"), rules), "secrets")
     if found.count() <= broadcast_candidates:
         found = F.broadcast(found)
-    out = docs.join(found, docs[doc_id] == found["_id"], "left").withColumn("_text", F.coalesce(F.col(text), F.lit("")))
+    out = texts.join(found, F.col("key") == F.col("of"), "left")
     parts = []
     for k, r in enumerate(rules):
         if trigram_query(r.pattern) is True:
             narrow = _NARROW.get(r.kind, r.pattern)
-            test = F.col("_text").rlike(narrow)
+            test = F.col("text").rlike(narrow)
             r = Rule(r.kind, narrow, r.where, r.group, r.base)
         else:
-            test = F.coalesce(F.col("_rules"), F.lit(0)).bitwiseAND(F.lit(1 << k)) != 0
+            test = F.coalesce(F.array_contains("rules", k), F.lit(False))
         parts.append(F.when(test, _spans(r, k)).otherwise(F.array().cast(_NONE)))
-    return out.withColumn("_spans", F.sort_array(F.concat(*parts))).drop("_id", "_rules", "_text")
+    return out.select("row", F.sort_array(F.concat(*parts)).alias("spans"))
 
 
 def _text_of(spans: Column, rules: tuple[Rule, ...]) -> Column:
@@ -209,11 +220,10 @@ def _text_of(spans: Column, rules: tuple[Rule, ...]) -> Column:
 
 
 def op10_secret_scan(spark, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    found = scan(docs).drop("text")
-    base = F.filter("_spans", lambda x: x["k"] < 3)
-    of = lambda k: F.size(F.filter("_spans", lambda x: x["k"] == k)).cast("long")
-    return found.select("doc_id", of(0).alias("n_assign"), of(1).alias("n_access"), of(2).alias("n_hex"), F.sha2(_text_of(base, RULES), 256).alias("base_sha256"), _text_of(F.col("_spans"), RULES).alias("spans"))
+    found = scan(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+    base = F.filter("spans", lambda x: x["k"] < 3)
+    of = lambda k: F.size(F.filter("spans", lambda x: x["k"] == k)).cast("long")
+    return found.select("row.doc_id", of(0).alias("n_assign"), of(1).alias("n_access"), of(2).alias("n_hex"), F.sha2(_text_of(base, RULES), 256).alias("base_sha256"), _text_of(F.col("spans"), RULES).alias("spans"))
 
 
 def _sql_pattern(r: Rule) -> str:
@@ -226,15 +236,15 @@ def _oracle() -> str:
     for k, r in enumerate(RULES):
         p = _sql_pattern(r)
         v = f"regexp_extract_all(t, '{p}', {1 if r.group else 0})"
-        parts.append(f"""SELECT doc_id, {k} AS k, '{r.kind}' AS kind, s, s + length(m) AS e, i FROM (
-  SELECT doc_id, m, v, i, (sum(length(m) + length(g)) OVER (PARTITION BY doc_id ORDER BY i) - length(m))::BIGINT AS s FROM (
-    SELECT doc_id, unnest(regexp_extract_all(t, '{p}', 0)) AS m, unnest({v}) AS v, unnest(list_slice(string_split_regex(t, '{p}'), 1, len(regexp_extract_all(t, '{p}', 0)))) AS g, generate_subscripts(regexp_extract_all(t, '{p}', 0), 1) AS i FROM d))
+        parts.append(f"""SELECT r, {k} AS k, '{r.kind}' AS kind, s, s + length(m) AS e, i FROM (
+  SELECT r, m, v, i, (sum(length(m) + length(g)) OVER (PARTITION BY r ORDER BY i) - length(m))::BIGINT AS s FROM (
+    SELECT r, unnest(regexp_extract_all(t, '{p}', 0)) AS m, unnest({v}) AS v, unnest(list_slice(string_split_regex(t, '{p}'), 1, len(regexp_extract_all(t, '{p}', 0)))) AS g, generate_subscripts(regexp_extract_all(t, '{p}', 0), 1) AS i FROM d))
   WHERE {r.where}""")
     both = "\nUNION ALL\n".join(parts)
-    return f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), found AS ({both}),
-a AS (SELECT doc_id, count(*) FILTER (WHERE k = 0) AS n_assign, count(*) FILTER (WHERE k = 1) AS n_access, count(*) FILTER (WHERE k = 2) AS n_hex,
-  string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, k) FILTER (WHERE k < 3) AS b, string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, k) AS spans FROM found GROUP BY doc_id)
-SELECT d.doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access, coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(b, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN a USING (doc_id)"""
+    return f"""WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents), found AS ({both}),
+a AS (SELECT r, count(*) FILTER (WHERE k = 0) AS n_assign, count(*) FILTER (WHERE k = 1) AS n_access, count(*) FILTER (WHERE k = 2) AS n_hex,
+  string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, k) FILTER (WHERE k < 3) AS b, string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, k) AS spans FROM found GROUP BY r)
+SELECT d.doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access, coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(b, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN a USING (r)"""
 
 
 OP10_SQL = _oracle()

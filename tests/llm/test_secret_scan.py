@@ -19,20 +19,29 @@ def corpus():
     rnd = random.Random(6)
     parts = ["password", "PassWD", "secret", "toKen", "apikey", "API_KEY", ":", "=", " = ", "'", '"', "token: ", "abcdef", "abc", "AKIA", "ABCDEFGHIJKLMNOP", "0123456789abcdef", "é", "😀", "\n", " ", "deadbeef", "x", "==", "://user:pw12@", "ghp_" + "a" * 36]
     docs = [(k, "".join(rnd.choices(parts, k=rnd.randint(0, 25)))) for k in range(600)]
-    return [*docs, (9000, None), (9001, ""), (9002, "password: token: abcdefgh"), (9003, "token=token=abcdef"), (9004, "f" * 50000), (9005, docs[0][1]), (9005, docs[0][1])]
+    return [*docs, (9000, None), (9001, ""), (9002, "password: token: abcdefgh"), (9003, "token=token=abcdef"), (9004, "f" * 50000), (9005, docs[0][1]), (9005, docs[0][1]), (9006, "token=abcdefg"), (9006, "nothing"), (None, "password = abcdefgh"), (None, None), (9007, "x y " * 300000 + "secret: abcdefgh")]
 
 
 def test_base_spans(spark):
     docs = corpus()
-    df = spark.createDataFrame([(i, t, "extra") for i, t in docs], "doc_id long, text string, m string").repartition(3)
+    df = spark.createDataFrame([(i, t, "extra", 1, "k") for i, t in docs], "doc_id long, text string, m string, rules int, key string").repartition(3)
     for most in (0, 10**6):
-        got = sorted((r.doc_id, ",".join(f"{s.RULES[x.k].kind}:{x.s}:{x.e}" for x in r._spans if x.k < 3)) for r in s.scan(df, broadcast_candidates=most).collect())
-        if most == 0:  # ids that repeat are joined with one candidate row each
-            assert len(got) == len(docs)
-        assert got == sorted((i, brute(t)) for i, t in docs)
+        found = s.scan(df, broadcast_candidates=most).collect()
+        got = sorted((str(r.row.doc_id), ",".join(f"{s.RULES[x.k].kind}:{x.s}:{x.e}" for x in r.spans if x.k < 3)) for r in found)
+        assert got == sorted((str(i), brute(t)) for i, t in docs)
+        assert {(r.row.m, r.row.rules, r.row.key) for r in found} == {("extra", 1, "k")}
     assert s.scan(df.limit(0)).collect() == []
 
 
+def test_many_rules(spark):
+    """More trigrams than one word of bits holds, and a rule without any."""
+    rules = tuple(s.Rule(f"r{k}", f"key{k:03d}[a-z]+") for k in range(150)) + (s.Rule("any", "[xz]+"),)
+    docs = [(k, f"a key{k:03d}abc and key{(7 * k) % 150:03d}d xz") for k in range(150)]
+    for r in s.scan(spark.createDataFrame(docs, "doc_id long, text string"), rules).collect():
+        want = sorted((m.start(), k, m.end()) for k, x in enumerate(rules) for m in re.finditer(x.pattern, docs[r.row.doc_id][1]))
+        assert [tuple(x) for x in r.spans] == want
+
+
 def test_queries_demand_what_matches_hold():
     def holds(q, low):
         return q is True or (q in low if isinstance(q, str) else (all if q[0] == "and" else any)(holds(x, low) for x in q[1]))
