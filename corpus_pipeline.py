@@ -21,7 +21,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Boilerplate lines of each source go; n_chars follows the text. No document goes."""
     cut = drop_lines(docs)
-    return cut.withColumn("n_chars", F.when(F.col("_n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+    n_chars = F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("row.n_chars"))
+    return cut.select(*[(F.col("text") if c == "text" else n_chars if c == "n_chars" else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
