@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import hashlib
 import heapq
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,12 +24,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textbuf as tb
+from .bits import Bits, bit_table
 from .store import small_batches, stash
 
 SEED = 5
 COVER = 0.5
-#: Bits of the table of seeds: so many for each seed, between these powers of two (16 MB at most).
-BITS_PER_SEED, LEAST_BITS, MOST_BITS = 32, 22, 27
 BROADCAST_TEXTS = 1_000_000
 
 
@@ -132,41 +130,10 @@ def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(lo + rows)), pa.array(digest, pa.string()), _lists(words, pa.int64()), _lists(seeds, pa.int64())], names=["item_id", "item", "words", "seeds"])
 
 
-class Bits:
-    """Which seeds may exist: two bits each."""
-
-    def __init__(self, table: np.ndarray):
-        self.table, self.shift = table, np.uint64(64 - (len(table) - 1).bit_length())
-
-    def slots(self, seeds: np.ndarray) -> np.ndarray:
-        return np.stack([(x >> self.shift).astype(np.int64) for x in (seeds, tb.mix(seeds))])
-
-    def has(self, seeds: np.ndarray) -> np.ndarray:
-        a, b = self.slots(seeds)
-        return self.table[a] & self.table[b]
-
-
-def seed_bits(items: DataFrame) -> tuple[int, bytes]:
-    """The table over all items' seeds, packed. Its size is bounded; where it fills up, it only passes over less."""
-    n = items.agg(F.sum(F.size("seeds"))).first()[0] or 0
-    size = 1 << min(MOST_BITS, max(LEAST_BITS, (n * BITS_PER_SEED).bit_length()))
-
-    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = Bits(np.zeros(size, bool))
-        for batch in batches:
-            bits.table[bits.slots(batch.column(0).values.to_numpy().view(np.uint64))] = True
-        yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(np.packbits(bits.table).tobytes(), 1)], pa.binary())], names=["bits"])
-
-    all_ = np.zeros(size // 8, np.uint8)
-    for r in items.select("seeds").coalesce(8).mapInArrow(part, "bits binary").toLocalIterator():
-        all_ |= np.frombuffer(zlib.decompress(r["bits"]), np.uint8)
-    return size, zlib.compress(all_.tobytes(), 1)
-
-
 def _seeded(size: int, packed: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Documents with windows that may be seeds: these, and the words that they cover with their places."""
-        bits = Bits(np.unpackbits(np.frombuffer(zlib.decompress(packed), np.uint8)).view(bool)[:size])
+        bits = Bits.unpack(size, packed)
         for batch in batches:
             for lo, _hi, buf, offs in tb.slices(batch.column(1)):
                 h, first, w, row = _windows(buf, offs)
@@ -232,7 +199,8 @@ def _search(docs: DataFrame, benchmark: DataFrame, text: str, doc_id: str, cover
     small_batches(docs.sparkSession)
     items = stash(benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).mapInArrow(_items, _ITEMS), "items")
     one = items.select("item", "words", "seeds").dropDuplicates(["item"])
-    seeded = stash(docs.select(F.col(doc_id).cast("long"), F.col(text).cast("string")).mapInArrow(_seeded(*seed_bits(items)), _SEEDED), "seeded")
+    bits = bit_table(items.select("seeds"), items.agg(F.sum(F.size("seeds"))).first()[0] or 0)
+    seeded = stash(docs.select(F.col(doc_id).cast("long"), F.col(text).cast("string")).mapInArrow(_seeded(*bits), _SEEDED), "seeded")
     texts = stash(seeded.groupBy("digest").agg(F.first(F.struct("words", "places", "seeds")).alias("x")).select("digest", "x.*"), "texts")
     holds = texts.select("digest", F.explode("seeds").alias("seed"))
     counts = holds.groupBy("seed").agg(F.count(F.lit(1)).alias("n"))
