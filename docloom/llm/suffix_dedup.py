@@ -1,12 +1,13 @@
 """Substring dedup by suffix arrays: bytes covered by a string of LENGTH bytes that also starts anywhere else go.
 
 Two equal strings of LENGTH bytes have their least-hashed GRAM at the same place. So each string is known by that anchor, neighbouring strings that share it
-make one context, and only contexts whose anchor occurs again are looked at. Equal contexts count as one. The distinct contexts of an anchor
-are sorted together, by two-stage suffix sorting: suffixes smaller than their successors are sorted directly, all others are induced
-from them in one scan over buckets; adjacent common prefixes of LENGTH bytes then mark the strings that occur again.
+make one context, and only contexts whose anchor occurs again are looked at: a first pass counts anchors, the second sends only contexts of those. Of contexts
+that are equal throughout (by 128-bit digest) two are sorted, for all their copies. The contexts of an anchor are sorted together, by two-stage suffix
+sorting: suffixes smaller than their successors are sorted directly, all others are induced from them in one scan over buckets; adjacent common prefixes
+of LENGTH bytes then mark the strings that occur again.
 
-Defined cases: null and empty texts have no strings, nor have texts under LENGTH bytes; texts may be of any length; repeated rows of one id are judged as
-documents of their own, but share the result by id; an empty table gives an empty table; other columns are not read.
+Defined cases: null and empty texts have no strings, nor have texts under LENGTH bytes; texts may be of any length; rows of one id (or of null) are told apart
+by their texts, and equal rows repeat each other; an empty table gives an empty table; other columns are not read.
 """
 
 from __future__ import annotations
@@ -16,10 +17,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textbuf as tb
+from .bits import Bits, bit_table
 from .store import stash
 
 LENGTH, GRAM = 200, 48
@@ -39,8 +42,8 @@ def sliding_min(v: np.ndarray, w: int) -> np.ndarray:
 
 
 def anchor_runs(buf: np.ndarray, offs: np.ndarray, length: int = LENGTH, gram: int = GRAM):
-    """For runs of neighbouring strings with one anchor: row, first start, number of starts, anchor's place (in the buffer), hash of the anchor, hash of the context."""
-    none = [np.zeros(0, np.int64)] * 4 + [np.zeros(0, np.uint64)] * 2
+    """For runs of neighbouring strings with one anchor: row, first start, number of starts, anchor's place (in the buffer), hash of the anchor."""
+    none = [np.zeros(0, np.int64)] * 4 + [np.zeros(0, np.uint64)]
     if len(buf) < length:
         return none
     prefix = tb.PrefixHash(buf)
@@ -58,23 +61,45 @@ def anchor_runs(buf: np.ndarray, offs: np.ndarray, length: int = LENGTH, gram: i
     n = np.diff(np.append(first, len(s)))
     lo = s[first]
     a = anchor[lo]
-    context = tb.mix(prefix.of(lo, lo + n - 1 + length) ^ (a - lo).astype(np.uint64))
-    return row[lo], lo, n, a, h[a], context
+    return row[lo], lo, n, a, h[a]
 
 
-_ROWS = "ah long, ch long, doc long, lo long, n int, off int"
+def _pieces(col: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, place of the piece in it, bytes, offsets); a text beyond PIECE comes in pieces that overlap by what a string needs."""
+    for lo, _hi, buf, offs in tb.slices(col):
+        if len(buf) <= PIECE:
+            yield lo, 0, buf, offs
+        else:
+            for p in range(0, len(buf), PIECE):
+                part = buf[p : p + PIECE + LENGTH - 1]
+                yield lo, p, part, np.array([0, len(part)])
 
 
-def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = [x.split()[0] for x in _ROWS.split(", ")]
+def _anchor_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids = batch.column(0).to_numpy(zero_copy_only=False)
-        for lo, _hi, buf, offs in tb.slices(batch.column(1)):
-            pieces = [(0, buf, offs)] if len(buf) <= PIECE else [(p, buf[p : p + PIECE + LENGTH - 1], np.array([0, len(buf[p : p + PIECE + LENGTH - 1])])) for p in range(0, len(buf), PIECE)]
-            for at, part, part_offs in pieces:
-                row, s, n, a, ah, ch = anchor_runs(part, part_offs)
-                cols = [ah.view(np.int64), ch.view(np.int64), ids[lo + row].astype(np.int64), s - part_offs[row] + at, n.astype(np.int32), (a - s).astype(np.int32)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=names)
+        for _lo, _at, buf, offs in _pieces(batch.column(0)):
+            key, n = np.unique(anchor_runs(buf, offs)[4].view(np.int64), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], names=["ah", "n"])
+
+
+_ROWS = "ah long, c1 long, c2 long, doc long, own long, lo long, n int, off int"
+
+
+def _anchor_rows(size: int, packed: bytes):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        again = Bits.unpack(size, packed)
+        for batch in batches:
+            for lo, at, buf, offs in _pieces(batch.column(2)):
+                runs = anchor_runs(buf, offs)
+                row, s, n, a, ah = (x[np.flatnonzero(again.has(runs[4]))] for x in runs)
+                raw = buf.tobytes()
+                each = zip(s.tolist(), (s + n - 1 + LENGTH).tolist(), (a - s).tolist(), strict=True)
+                digest = np.frombuffer(b"".join(xxhash.xxh3_128_digest(raw[x:y], k) for x, y, k in each), np.int64).reshape(-1, 2)
+                ids = [batch.column(k).take(pa.array(lo + row)) for k in (0, 1)]
+                cols = [ah.view(np.int64), digest[:, 0], digest[:, 1], *ids, s - offs[row] + at, n.astype(np.int32), (a - s).astype(np.int32)]
+                yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in cols], names=[x.split()[0] for x in _ROWS.split(", ")])
+
+    return run
 
 
 # --- two-stage suffix sorting
@@ -87,15 +112,22 @@ def _words(text: np.ndarray) -> np.ndarray:
     return out
 
 
-def sort_directly(words: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
-    """The suffixes at, sorted by their first depth bytes: by eight bytes, then each group of ties by the next eight."""
+def sort_directly(words: np.ndarray, at: np.ndarray, depth: int, prefix: tb.PrefixHash | None = None) -> np.ndarray:
+    """The suffixes at, sorted by their first depth bytes: by eight bytes, then each group of ties by the next eight. Groups that are equal to the end, as copies are, need no more rounds."""
     n = len(words)
     order = at[np.argsort(words[at], kind="stable")]
     key = words[order]
     group = np.cumsum(np.concatenate([[0], key[1:] != key[:-1]])) if len(order) else order
+    equal = np.zeros(len(order), bool)  # in a group of which all members have the same depth bytes
     for d in range(8, depth, 8):
         size = np.bincount(group)
-        tied = np.flatnonzero(size[group] > 1)
+        tied = np.flatnonzero((size[group] > 1) & ~equal)
+        if prefix and len(tied) and d in (8, 32, 96):
+            h = prefix.of(order[tied], np.minimum(order[tied] + depth, n))
+            first = np.flatnonzero(np.concatenate([[True], np.diff(group[tied]) != 0]))
+            same = np.minimum.reduceat(h, first) == np.maximum.reduceat(h, first)
+            equal[tied] = np.repeat(same, np.diff(np.append(first, len(tied))))
+            tied = tied[~equal[tied]]
         if not len(tied):
             break
         sub, g = order[tied], group[tied]
@@ -119,7 +151,7 @@ def suffix_array(text: np.ndarray, depth: int = LENGTH) -> np.ndarray:
     nxt = differs[np.searchsorted(differs, np.arange(n))]
     small = np.where(nxt + 1 < n, text[nxt] < text[np.minimum(nxt + 1, n - 1)], True)
     words = _words(text)
-    direct = sort_directly(words, np.flatnonzero(small), depth)
+    direct = sort_directly(words, np.flatnonzero(small), depth, tb.PrefixHash(text))
     ends = np.searchsorted(text[direct], np.arange(257))
     waiting: list[list[np.ndarray]] = [[] for _ in range(256)]
     out = []
@@ -176,7 +208,7 @@ def _ranges(hit: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True))
 
 
-_CONTEXTS = "key long, ah long, ch long, shift int, n int, context binary"
+_CONTEXTS = "key long, ah long, c1 long, c2 long, shift int, n int, context binary"
 
 
 def _contexts(hot: int):
@@ -189,13 +221,13 @@ def _contexts(hot: int):
                 for w in wanted:
                     lo, n, a = w["lo"], w["n"], w["lo"] + w["off"]
                     if w["k"] <= hot:
-                        out.append((w["ah"], w["ah"], w["ch"], 0, n, raw[lo : lo + n - 1 + LENGTH]))
+                        out.append((w["ah"], w["ah"], w["c1"], w["c2"], 0, n, raw[lo : lo + n - 1 + LENGTH]))
                         continue
                     for block in range((a - lo - n + 1) // BLOCK, (a - lo) // BLOCK + 1):
                         s, e = max(lo, a - BLOCK * block - BLOCK + 1), min(lo + n, a - BLOCK * block + 1)
                         core = raw[a - BLOCK * block : a - BLOCK * block - BLOCK + 1 + LENGTH]
                         key = int.from_bytes(hashlib.blake2b(core, digest_size=8, salt=block.to_bytes(8, "big")).digest(), "big", signed=True)
-                        out.append((key, w["ah"], w["ch"], s - lo, e - s, raw[s : e - 1 + LENGTH]))
+                        out.append((key, w["ah"], w["c1"], w["c2"], s - lo, e - s, raw[s : e - 1 + LENGTH]))
                     if len(out) > 20000:
                         yield _context_batch(out, names)
                         out = []
@@ -205,8 +237,8 @@ def _contexts(hot: int):
 
 
 def _context_batch(out: list[tuple], names: list[str]) -> pa.RecordBatch:
-    cols = list(zip(*out, strict=True)) if out else [[]] * 6
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+    cols = list(zip(*out, strict=True)) if out else [[]] * 7
+    kinds = [pa.int64()] * 4 + [pa.int32(), pa.int32(), pa.binary()]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=names)
 
 
@@ -217,10 +249,10 @@ def _sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def done() -> pa.RecordBatch:
         out = []
-        for (_, ah, ch, shift, n, _), hit in zip(held, repeated_starts([x[5] for x in held], [x[4] for x in held]), strict=True):
-            out.extend((ah, ch, shift + a, shift + b) for a, b in _ranges(hit))
-        cols = list(zip(*out, strict=True)) if out else [[]] * 4
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, [pa.int64(), pa.int64(), pa.int32(), pa.int32()], strict=True)], names=["ah", "ch", "a", "b"])
+        for (_, ah, c1, c2, shift, n, _), hit in zip(held, repeated_starts([x[6] for x in held], [x[5] for x in held]), strict=True):
+            out.extend((ah, c1, c2, shift + a, shift + b) for a, b in _ranges(hit))
+        cols = list(zip(*out, strict=True)) if out else [[]] * 5
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, [*[pa.int64()] * 3, pa.int32(), pa.int32()], strict=True)], names=["ah", "c1", "c2", "a", "b"])
 
     for batch in batches:
         for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -228,37 +260,44 @@ def _sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield done()
                 held, size = [], 0
             held.append(row)
-            size += len(row[5])
+            size += len(row[6])
     if held:
         yield done()
 
 
+def _texts(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
+    """doc, own (a hash of the text, that tells rows of one id apart), text."""
+    t = F.col(f"`{text}`").cast("string")
+    return docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc"), F.xxhash64(t).alias("own"), t.alias("text"))
+
+
 def repeated(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", hot: int = HOT) -> DataFrame:
-    """(doc, starts: array of (s, e)): ranges of places where strings start that also start elsewhere."""
+    """(doc, own, starts: array of (s, e)): ranges of places where strings start that also start elsewhere."""
     spark = docs.sparkSession
-    texts = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).cast("string").alias("text"))
-    rows = texts.mapInArrow(_anchor_rows, _ROWS)
-    again = rows.groupBy("ah").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("ah")
-    rows = stash(rows.join(again, "ah"), "anchors")
-    # equal contexts are one, known by its first document
-    distinct = rows.groupBy("ah", "ch").agg(F.count(F.lit(1)).alias("k"), F.min(F.struct("doc", "lo", "n", "off")).alias("x"))
-    distinct = stash(distinct, "contexts")
-    kinds = distinct.groupBy("ah").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1")
-    wanted = distinct.join(kinds, "ah").select("ah", "ch", F.col("kinds").alias("k"), "x.*")
-    by_doc = wanted.groupBy("doc").agg(F.collect_list(F.struct("ah", "ch", "lo", "n", "off", "k")).alias("wanted"))
-    cut = by_doc.join(texts, "doc").select(F.encode("text", "utf-8").alias("raw"), "wanted").mapInArrow(_contexts(hot), _CONTEXTS)
+    texts = _texts(docs, text, doc_id)
+    keys = texts.select("text").mapInArrow(_anchor_keys, "ah long, n long").groupBy("ah").agg(F.sum("n").alias("n")).filter("n > 1").select("ah")
+    keys = stash(keys, "anchor-keys")
+    rows = stash(texts.mapInArrow(_anchor_rows(*bit_table(keys, keys.count())), _ROWS), "anchors")
+    # of equal contexts the first and the last stand for all
+    place = F.struct("doc", "own", "lo", "n", "off")
+    distinct = stash(rows.groupBy("ah", "c1", "c2").agg(F.count(F.lit(1)).alias("k"), F.min(place).alias("x"), F.max(place).alias("y")), "contexts")
+    kinds = distinct.groupBy("ah").agg(F.count(F.lit(1)).alias("kinds"), F.max("k").alias("most")).filter("kinds > 1 OR most > 1").select("ah", "kinds")
+    both = F.when((F.col("k") > 1) & ~F.col("x").eqNullSafe(F.col("y")), F.array("x", "y")).otherwise(F.array("x"))
+    wanted = distinct.join(kinds, "ah").select("ah", "c1", "c2", F.col("kinds").alias("k"), F.explode(both).alias("p")).select("ah", "c1", "c2", "k", "p.*")
+    by_doc = wanted.groupBy("doc", "own").agg(F.collect_list(F.struct("ah", "c1", "c2", "lo", "n", "off", "k")).alias("wanted"))
+    own = texts.select(F.col("doc").alias("d"), F.col("own").alias("o"), F.encode("text", "utf-8").alias("raw"))
+    cut = by_doc.join(own, F.col("doc").eqNullSafe(F.col("d")) & (F.col("own") == F.col("o"))).select("raw", "wanted").mapInArrow(_contexts(hot), _CONTEXTS)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    found = cut.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_sort, "ah long, ch long, a int, b int")
-    hits = found.unionByName(distinct.filter("k > 1").select("ah", "ch", F.lit(0).alias("a"), F.col("x.n").alias("b")))
-    places = rows.select("ah", "ch", "doc", "lo").join(hits, ["ah", "ch"]).select("doc", (F.col("lo") + F.col("a")).alias("s"), (F.col("lo") + F.col("b")).alias("e"))
-    return places.groupBy("doc").agg(F.sort_array(F.collect_set(F.struct("s", "e"))).alias("starts"))
+    hits = cut.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_sort, "ah long, c1 long, c2 long, a int, b int").distinct()
+    places = rows.select("ah", "c1", "c2", "doc", "own", "lo").join(hits, ["ah", "c1", "c2"]).select("doc", "own", (F.col("lo") + F.col("a")).alias("s"), (F.col("lo") + F.col("b")).alias("e"))
+    return places.groupBy("doc", "own").agg(F.sort_array(F.collect_set(F.struct("s", "e"))).alias("starts"))
 
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Ranges of starts to spans of bytes."""
     for batch in batches:
         out = []
-        for starts in batch.column(1).to_pylist():
+        for starts in batch.column(2).to_pylist():
             spans: list[list[int]] = []
             for x in starts:
                 s, e = x["s"], x["e"] - 1 + LENGTH
@@ -268,7 +307,7 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     spans.append([s, e])
             out.append(([s for s, _ in spans], [e for _, e in spans]))
         kind = pa.list_(pa.int64())
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x for x, _ in out], kind), pa.array([x for _, x in out], kind)], names=["doc", "span_starts", "span_ends"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([x for x, _ in out], kind), pa.array([x for _, x in out], kind)], names=["doc", "own", "span_starts", "span_ends"])
 
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -288,10 +327,11 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def suffix_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", hot: int = HOT) -> DataFrame:
-    """One row a document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, span_starts, span_ends (bytes). Spans are joined by id: their number grows with the input."""
-    found = repeated(docs, text, doc_id, hot).mapInArrow(_merge, "doc long, span_starts array<long>, span_ends array<long>")
-    texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    joined = texts.join(found.hint("merge"), F.col("doc_id") == F.col("doc"), "left").select("doc_id", F.encode("text", "utf-8").alias("raw"), "span_starts", "span_ends")
+    """One row a document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, span_starts, span_ends (bytes). Spans are joined by id and text: their number grows with the input."""
+    found = repeated(docs, text, doc_id, hot).mapInArrow(_merge, "doc long, own long, span_starts array<long>, span_ends array<long>")
+    texts = _texts(docs, text, doc_id).select(F.col("doc").alias("doc_id"), F.col("own").alias("o"), "text")
+    same = F.col("doc_id").eqNullSafe(F.col("doc")) & (F.col("o") == F.col("own"))
+    joined = texts.join(found.hint("merge"), same, "left").select("doc_id", F.encode("text", "utf-8").alias("raw"), "span_starts", "span_ends")
     return joined.mapInArrow(_kept, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, span_starts array<long>, span_ends array<long>")
 
 

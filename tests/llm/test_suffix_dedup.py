@@ -10,14 +10,14 @@ from docloom.llm import suffix_dedup as sd
 def brute(docs):
     raw = [(i, (t or "").encode()) for i, t in docs]
     n = Counter(r[s : s + 200] for _, r in raw for s in range(len(r) - 199))
-    out = set()
+    out = Counter()
     for i, r in raw:
         gone = np.zeros(len(r), bool)
         for s in range(len(r) - 199):
             if n[r[s : s + 200]] > 1:
                 gone[s : s + 200] = True
         kept = bytes(np.frombuffer(r, np.uint8)[~gone]) if r else b""
-        out.add((i, len(r), int(gone.sum()), int((np.diff(np.concatenate([[0], gone.astype(int)])) == 1).sum()), hashlib.sha256(kept).hexdigest()))
+        out[i, len(r), int(gone.sum()), int((np.diff(np.concatenate([[0], gone.astype(int)])) == 1).sum()), hashlib.sha256(kept).hexdigest()] += 1
     return out
 
 
@@ -34,7 +34,7 @@ def corpus(seed):
             cut = rnd.choice([0, 0, rnd.randrange(60)])
             t = t[:at] + p[cut:] + t[at:]
         docs.append((k, t))
-    return [*docs, (200, None), (201, ""), (202, "z" * 1000), (203, "ab" * 400), (204, docs[3][1]), (205, docs[3][1][:-1] + "!"), (206, "q" * 200), (207, "w" * 201)]
+    return [*docs, (200, None), (201, ""), (202, "z" * 1000), (203, "ab" * 400), (204, docs[3][1]), (205, docs[3][1][:-1] + "!"), (206, "q" * 200), (207, "w" * 201), (3, docs[5][1]), (6, docs[6][1]), (None, docs[8][1]), (None, "v" * 300), (300, "n " * 3000 + docs[9][1])]
 
 
 def test_suffix_array():
@@ -47,9 +47,9 @@ def test_suffix_array():
 
 def test_against_brute_force(spark):
     docs = corpus(1)
-    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    df = spark.createDataFrame([(*d, 1, "c") for d in docs], "doc_id long, text string, own int, raw string").repartition(3)
     for hot in (sd.HOT, 1):
-        got = {(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in sd.suffix_dedup(df, hot=hot).collect()}
+        got = Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in sd.suffix_dedup(df, hot=hot).collect())
         assert got == brute(docs)
 
 
