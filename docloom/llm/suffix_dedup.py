@@ -1,8 +1,8 @@
 """Substring dedup by suffix arrays: bytes covered by a string of LENGTH bytes that also starts anywhere else go.
 
 Two equal strings of LENGTH bytes have their least-hashed GRAM at the same place. So each string is known by that anchor, neighbouring strings that share it
-make one context, and only contexts whose anchor occurs again are looked at: a first pass counts anchors, the second sends only contexts of those. Of contexts
-that are equal throughout (by 128-bit digest) two are sorted, for all their copies. The contexts of an anchor are sorted together, by two-stage suffix
+make one context, and only contexts whose anchor occurs again are looked at: a first pass counts anchors, the second sends only contexts of those. Contexts that
+are equal throughout (by 128-bit digest) count as one that repeats. The distinct contexts of an anchor are sorted together, by two-stage suffix
 sorting: suffixes smaller than their successors are sorted directly, all others are induced from them in one scan over buckets; adjacent common prefixes
 of LENGTH bytes then mark the strings that occur again.
 
@@ -278,17 +278,17 @@ def repeated(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", hot: i
     keys = texts.select("text").mapInArrow(_anchor_keys, "ah long, n long").groupBy("ah").agg(F.sum("n").alias("n")).filter("n > 1").select("ah")
     keys = stash(keys, "anchor-keys")
     rows = stash(texts.mapInArrow(_anchor_rows(*bit_table(keys, keys.count())), _ROWS), "anchors")
-    # of equal contexts the first and the last stand for all
+    # equal contexts are one, known by its first document
     place = F.struct("doc", "own", "lo", "n", "off")
-    distinct = stash(rows.groupBy("ah", "c1", "c2").agg(F.count(F.lit(1)).alias("k"), F.min(place).alias("x"), F.max(place).alias("y")), "contexts")
-    kinds = distinct.groupBy("ah").agg(F.count(F.lit(1)).alias("kinds"), F.max("k").alias("most")).filter("kinds > 1 OR most > 1").select("ah", "kinds")
-    both = F.when((F.col("k") > 1) & ~F.col("x").eqNullSafe(F.col("y")), F.array("x", "y")).otherwise(F.array("x"))
-    wanted = distinct.join(kinds, "ah").select("ah", "c1", "c2", F.col("kinds").alias("k"), F.explode(both).alias("p")).select("ah", "c1", "c2", "k", "p.*")
+    distinct = stash(rows.groupBy("ah", "c1", "c2").agg(F.count(F.lit(1)).alias("k"), F.min(place).alias("x")), "contexts")
+    kinds = distinct.groupBy("ah").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1")
+    wanted = distinct.join(kinds, "ah").select("ah", "c1", "c2", F.col("kinds").alias("k"), "x.*")
     by_doc = wanted.groupBy("doc", "own").agg(F.collect_list(F.struct("ah", "c1", "c2", "lo", "n", "off", "k")).alias("wanted"))
     own = texts.select(F.col("doc").alias("d"), F.col("own").alias("o"), F.encode("text", "utf-8").alias("raw"))
     cut = by_doc.join(own, F.col("doc").eqNullSafe(F.col("d")) & (F.col("own") == F.col("o"))).select("raw", "wanted").mapInArrow(_contexts(hot), _CONTEXTS)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    hits = cut.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_sort, "ah long, c1 long, c2 long, a int, b int").distinct()
+    found = cut.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_sort, "ah long, c1 long, c2 long, a int, b int")
+    hits = found.unionByName(distinct.filter("k > 1").select("ah", "c1", "c2", F.lit(0).alias("a"), F.col("x.n").alias("b")))
     places = rows.select("ah", "c1", "c2", "doc", "own", "lo").join(hits, ["ah", "c1", "c2"]).select("doc", "own", (F.col("lo") + F.col("a")).alias("s"), (F.col("lo") + F.col("b")).alias("e"))
     return places.groupBy("doc", "own").agg(F.sort_array(F.collect_set(F.struct("s", "e"))).alias("starts"))
 
