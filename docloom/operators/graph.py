@@ -5,29 +5,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docloom.functions.numbering import numbered
 from docloom.plans.checkpoints import ensure_folder
 from docloom.plans.registry import query, table
 
 
-def communities(edges: DataFrame, rounds: int = 5) -> DataFrame:
-    """edges (a, b, w) -> (v, c). In each round every vertex takes the label with the largest weight around it, the smaller one in ties; every
-    second round only the vertices whose label is the larger one move, so labels can't swap for ever."""
+def communities(edges: DataFrame, rounds: int = 100) -> DataFrame:
+    """edges (a, b, w) -> (v, c). In each round every vertex takes the label with the largest weight around it, the smaller one in ties, if it is smaller than its
+    own; labels only fall, so that they settle."""
     ensure_folder(edges.sparkSession)
-    both = edges.select("a", "b", "w").union(edges.select("b", "a", "w"))
-    labels = both.select(F.col("a").alias("v")).distinct().withColumn("c", F.col("v"))
+    both = edges.select("a", "b", "w").union(edges.select("b", "a", "w")).checkpoint()
+    labels = both.select(F.col("a").alias("v")).distinct().withColumn("c", F.col("v")).checkpoint()
     for _ in range(rounds):
         near = both.join(labels, F.col("b") == F.col("v")).groupBy("a", "c").agg(F.sum("w").alias("w"))
         best = near.groupBy("a").agg(F.max(F.struct(F.round("w", 6).alias("w"), (-F.col("c")).alias("c"))).alias("x")).select(F.col("a").alias("v"), (-F.col("x.c")).alias("new"))
-        labels = labels.join(best, "v").select("v", F.least("c", "new").alias("c")).checkpoint()
-    return labels
+        moved = labels.join(best, "v").select("v", F.least("c", "new").alias("c"), (F.col("new") < F.col("c")).alias("moved")).checkpoint()
+        labels = moved.select("v", "c")
+        if not moved.filter("moved").limit(1).count():
+            return labels
+    raise RuntimeError(f"labels did not settle in {rounds} rounds")
 
 
 def sizes(labels: DataFrame, least: int = 3) -> DataFrame:
     """Members, least member and place of each community, largest first; places are given before small ones are left out."""
-    from pyspark.sql import Window as W
-
     s = labels.groupBy("c").agg(F.count(F.lit(1)).alias("size"), F.min("v").alias("first"))
-    return s.withColumn("community", F.row_number().over(W.orderBy(F.desc("size"), "first")) - 1).filter(F.col("size") >= least)
+    return numbered(s, F.desc("size"), F.col("first"), name="community").withColumn("community", F.col("community") - 1).filter(F.col("size") >= least)
 
 
 @query("o1_f5_communities")

@@ -45,11 +45,11 @@ def verdicts(spark, sf_dir, least_pages=3, share=0.3):
     return g.select("doc", "page", F.when(is_cjk & (F.col("pages") >= least_pages) & (F.col("hits") >= share * F.col("pages")), "ok").otherwise(F.col("s")).alias("state"))
 
 
-@query("l9_l11_fallback", f"WITH {_SIGNALS} SELECT doc, page, coalesce(vision, gateway, native, '') AS text, CASE WHEN vision IS NOT NULL THEN 'vision' WHEN gateway IS NOT NULL THEN 'gateway' WHEN native IS NOT NULL THEN 'native' ELSE 'empty' END AS source FROM (SELECT s.doc, s.page, CASE WHEN image_share > 70 THEN left(text, 5) END AS vision, CASE WHEN image_share > 40 AND NOT failed THEN left(text, 7) END AS gateway, CASE WHEN chars > 300 THEN left(text, 9) END AS native FROM signals s JOIN documents USING (doc_id))")
+@query("l9_l11_fallback", f"WITH {_SIGNALS} SELECT doc, page, coalesce(vision, gateway, native, '') AS text, CASE WHEN vision IS NOT NULL THEN 'vision' WHEN gateway IS NOT NULL THEN 'gateway' WHEN native IS NOT NULL THEN 'native' ELSE 'empty' END AS source FROM (SELECT s.doc, s.page, CASE WHEN image_share > 70 THEN text END AS vision, CASE WHEN image_share > 40 AND NOT failed THEN 'g:' || text END AS gateway, CASE WHEN chars > 300 THEN 'n:' || text END AS native FROM signals s JOIN documents USING (doc_id))")
 def fallback(spark, sf_dir):
     """The first lane that gave something, and which it was."""
     s = signals(spark, sf_dir).join(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
-    lanes_ = {"vision": F.when(F.col("image_share") > 70, F.substring("text", 1, 5)), "gateway": F.when((F.col("image_share") > 40) & ~F.col("failed"), F.substring("text", 1, 7)), "native": F.when(F.col("chars") > 300, F.substring("text", 1, 9))}
+    lanes_ = {"vision": F.when(F.col("image_share") > 70, F.col("text")), "gateway": F.when((F.col("image_share") > 40) & ~F.col("failed"), F.concat(F.lit("g:"), "text")), "native": F.when(F.col("chars") > 300, F.concat(F.lit("n:"), "text"))}
     source = F.lit("empty")
     for name, c in reversed(lanes_.items()):
         source = F.when(c.isNotNull(), name).otherwise(source)

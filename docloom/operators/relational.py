@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from docloom.functions.numbering import numbered
 from docloom.plans.registry import query, table
 
 from .jobs import SQL as JOBS
@@ -20,12 +21,12 @@ def list_jobs(spark, sf_dir, workspace="ws7", status="queued", kind=None, limit=
     return j.orderBy(F.desc("created_at"), F.desc("id")).limit(min(500, max(1, limit))).select("id", "kind", "status")
 
 
-@query("b3_same_tenant", f"WITH {JOBS} SELECT a.id, count(b.id) AS n FROM jobs a JOIN jobs b ON a.workspace IS NOT DISTINCT FROM b.workspace AND a.kind = b.kind AND b.status = 'running' WHERE a.id % 50 = 3 GROUP BY a.id")
+@query("b3_same_tenant", f"WITH {JOBS} SELECT a.id, count(b.id) AS n FROM jobs a JOIN jobs b ON a.workspace IS NOT DISTINCT FROM b.workspace AND a.kind = b.kind AND b.status = 'running' GROUP BY a.id")
 def same_tenant(spark, sf_dir):
     """Running jobs of the same tenant and kind; the absent tenant equals itself."""
     j = jobs(spark, sf_dir)
     running = j.filter("status = 'running'").groupBy(F.col("workspace").alias("w"), F.col("kind").alias("k")).agg(F.count("id").alias("n"))
-    return j.filter("id % 50 = 3").join(running, F.col("workspace").eqNullSafe(F.col("w")) & (F.col("kind") == F.col("k"))).select("id", "n")
+    return j.join(running, F.col("workspace").eqNullSafe(F.col("w")) & (F.col("kind") == F.col("k"))).select("id", "n")
 
 
 @query("b4_f1_keyset_page", f"WITH {JOBS}, cur AS (SELECT created_at AS c, id AS i FROM jobs WHERE id = 777) SELECT id, kind FROM jobs, cur WHERE created_at < c OR (created_at = c AND id < i) ORDER BY created_at DESC, id DESC LIMIT 50")
@@ -101,10 +102,11 @@ def purge_without_live_children(spark, sf_dir, batch=200):
     return done.join(live, F.col("id") == F.col("p"), "left_anti").orderBy("created_at", "id").limit(batch).select("id")
 
 
-@query("c5_lease_join", f"WITH {JOBS}, l AS (SELECT id, attempts FROM jobs WHERE id % 3 = 0) SELECT j.id FROM jobs j JOIN l ON j.id = l.id AND j.attempts = l.attempts WHERE j.status = 'running'")
+@query("c5_lease_join", f"WITH {JOBS}, l AS (SELECT id, attempts + (id % 3 = 0)::INT AS attempts FROM jobs) SELECT j.id FROM jobs j JOIN l ON j.id = l.id AND j.attempts = l.attempts WHERE j.status = 'running'")
 def lease_join(spark, sf_dir):
     j = jobs(spark, sf_dir)
-    return j.filter("status = 'running'").join(j.filter("id % 3 = 0").select("id", "attempts"), ["id", "attempts"], "left_semi").select("id")
+    leases = j.select("id", (F.col("attempts") + (F.col("id") % 3 == 0).cast("int")).alias("attempts"))
+    return j.filter("status = 'running'").join(leases, ["id", "attempts"], "left_semi").select("id")
 
 
 @query("c11_orphans", "SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber FROM lineitem WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey AND o_orderstatus <> 'P') AND l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0)")
@@ -209,13 +211,11 @@ def nulls_last(spark, sf_dir):
     return c.join(r, F.col("o_custkey") == F.col("c_custkey"), "left").orderBy(F.desc_nulls_last("rank"), "c_custkey").limit(100).select("c_custkey")
 
 
-@query("f7_dotted_order", "SELECT n, row_number() OVER (ORDER BY list_transform(string_split(n, '.'), lambda x: x::INT)) AS place FROM (SELECT DISTINCT CAST(l_orderkey AS VARCHAR) || '.' || CAST(l_linenumber AS VARCHAR) AS n FROM lineitem WHERE l_orderkey < 200)")
+@query("f7_dotted_order", "SELECT n, row_number() OVER (ORDER BY list_transform(string_split(n, '.'), lambda x: x::INT)) AS place FROM (SELECT DISTINCT CAST(l_orderkey AS VARCHAR) || '.' || CAST(l_linenumber AS VARCHAR) AS n FROM lineitem)")
 def dotted_order(spark, sf_dir):
     """Dotted numbers in the order of their segments as numbers."""
-    from pyspark.sql import Window as W
-
-    n = table(spark, sf_dir, "lineitem").filter("l_orderkey < 200").select(F.concat_ws(".", "l_orderkey", "l_linenumber").alias("n")).distinct()
-    return n.select("n", F.row_number().over(W.orderBy(F.transform(F.split("n", "[.]"), lambda x: x.cast("int")))).cast("long").alias("place"))
+    n = table(spark, sf_dir, "lineitem").select(F.concat_ws(".", "l_orderkey", "l_linenumber").alias("n")).distinct()
+    return numbered(n.withColumn("key", F.transform(F.split("n", "[.]"), lambda x: x.cast("int"))), "key").select("n", "place")
 
 
 @query("g1_g2_page_sets", "SELECT doc_id FROM ((SELECT doc_id FROM documents WHERE n_chars < 300 UNION SELECT doc_id FROM labels WHERE quality = 0) EXCEPT SELECT doc_id FROM labels WHERE toxic = 1)")
@@ -230,9 +230,10 @@ def intersection(spark, sf_dir):
     return table(spark, sf_dir, "labels").filter("quality = 0").select("doc_id").intersect(table(spark, sf_dir, "documents").filter("n_chars < 2000").select("doc_id")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("g6_replace_members", "WITH m AS (SELECT conv_id, min(turn) AS turn, string_agg(role, '+' ORDER BY turn) AS role FROM conversations WHERE conv_id % 4 = 0 GROUP BY 1) SELECT conv_id, turn, role FROM conversations WHERE conv_id % 4 <> 0 UNION ALL SELECT * FROM m")
+@query("g6_replace_members", "WITH g AS (SELECT DISTINCT conv_id FROM conversations WHERE role = 'system'), m AS (SELECT conv_id, min(turn) AS turn, string_agg(role, '+' ORDER BY turn) AS role FROM conversations WHERE conv_id IN (FROM g) GROUP BY 1) SELECT conv_id, turn, role FROM conversations WHERE conv_id NOT IN (FROM g) UNION ALL SELECT * FROM m")
 def replace_members(spark, sf_dir):
     """Members of a group are replaced by one derived row at the first member's place."""
     c = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role")
-    whole = c.filter("conv_id % 4 = 0").groupBy("conv_id").agg(F.min("turn").alias("turn"), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("turn", "role"))), lambda x: x["role"]), "+").alias("role"))
-    return c.filter("conv_id % 4 <> 0").unionByName(whole)
+    groups = c.filter("role = 'system'").select("conv_id").distinct()
+    whole = c.join(groups, "conv_id", "left_semi").groupBy("conv_id").agg(F.min("turn").alias("turn"), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("turn", "role"))), lambda x: x["role"]), "+").alias("role"))
+    return c.join(groups, "conv_id", "left_anti").unionByName(whole)

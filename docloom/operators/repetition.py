@@ -18,10 +18,12 @@ def words(c: Column) -> Column:
 
 
 def top_ngram(w: str, n: int) -> Column:
-    """How often the most frequent n-gram of the array column w occurs. Within the row: grams are sorted, and the longest run counted."""
+    """How often the most frequent n-gram of the array column w occurs. Within the row: hashes of the grams are sorted, and the longest run counted. The array is
+    bound by a one-element array, so that a text is split once and not for each gram."""
+    gram = ", ".join(f"x[i + {k}]" for k in range(n))
     return F.expr(f"""CASE WHEN size({w}) < {n} THEN 0 ELSE aggregate(
-      sort_array(transform(sequence(0, size({w}) - {n}), i -> array_join(slice({w}, i + 1, {n}), ' '))),
-      named_struct('last', CAST(NULL AS STRING), 'run', 0, 'most', 0),
+      sort_array(transform(array({w}), x -> transform(sequence(0, size(x) - {n}), i -> xxhash64({gram})))[0]),
+      named_struct('last', CAST(NULL AS BIGINT), 'run', 0, 'most', 0),
       (a, g) -> named_struct('last', g, 'run', if(g <=> a.last, a.run + 1, 1), 'most', greatest(a.most, if(g <=> a.last, a.run + 1, 1))), a -> a.most) END""")
 
 

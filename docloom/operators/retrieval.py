@@ -80,13 +80,13 @@ def terms(df: DataFrame, key: str, text: str) -> DataFrame:
 _TERMS = "SELECT {k}, term, 1 + ln(count(*)) AS w FROM (SELECT {k}, unnest(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+')) AS term FROM {t}) WHERE length(term) >= 2 GROUP BY ALL"
 
 
-@query("n6_n7_hybrid", "WITH d AS (" + _TERMS.format(k="conv_id", t="conversations") + "), q AS (" + _TERMS.format(k="item_id", t="(SELECT * FROM benchmark WHERE item_id < 5)") + "), s AS (SELECT item_id, conv_id, round(sum(d.w * q.w), 6) AS score FROM d JOIN q USING (term) GROUP BY ALL) SELECT item_id, conv_id, score FROM s QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, conv_id) <= 10")
+@query("n6_n7_hybrid", "WITH d AS (" + _TERMS.format(k="conv_id", t="conversations") + "), q AS (" + _TERMS.format(k="item_id", t="benchmark") + "), s AS (SELECT item_id, conv_id, round(sum(d.w * q.w), 6) AS score FROM d JOIN q USING (term) GROUP BY ALL) SELECT item_id, conv_id, score FROM s QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, conv_id) <= 10")
 def sparse_search(spark, sf_dir, k=10):
     """Sparse dot products over shared terms: a join on terms, not of all pairs."""
     from pyspark.sql import Window as W
 
     d = terms(table(spark, sf_dir, "conversations"), "conv_id", "text")
-    q = terms(table(spark, sf_dir, "benchmark").filter("item_id < 5"), "item_id", "text").withColumnRenamed("w", "qw")
+    q = terms(table(spark, sf_dir, "benchmark"), "item_id", "text").withColumnRenamed("w", "qw")
     s = d.join(q, "term").groupBy("item_id", "conv_id").agg(F.round(F.sum(F.col("w") * F.col("qw")), 6).alias("score"))
     return s.withColumn("r", F.row_number().over(W.partitionBy("item_id").orderBy(F.desc("score"), "conv_id"))).filter(F.col("r") <= k).drop("r")
 
@@ -96,11 +96,11 @@ def hybrid(scores: DataFrame, dense: float = DENSE, sparse: float = SPARSE) -> D
     return scores.withColumn("score", dense * F.coalesce("dense", F.lit(0.0)) + sparse * F.coalesce("sparse", F.lit(0.0)))
 
 
-@query("f2_c15_rank_reports", "WITH r AS (SELECT doc_id, lower(left(text, 300)) AS hay, n_chars FROM documents WHERE doc_id % 5 = 0), q AS (SELECT DISTINCT term FROM (SELECT unnest(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+')) AS term FROM benchmark WHERE item_id = 3) WHERE length(term) >= 4) SELECT doc_id, (SELECT count(*) FROM q WHERE contains(r.hay, q.term)) AS overlap FROM r ORDER BY overlap DESC, n_chars DESC, doc_id LIMIT 20")
+@query("f2_c15_rank_reports", "WITH r AS (SELECT doc_id, lower(text) AS hay, n_chars FROM documents), q AS (SELECT DISTINCT term FROM (SELECT unnest(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+')) AS term FROM benchmark WHERE item_id = 3) WHERE length(term) >= 4) SELECT doc_id, (SELECT count(*) FROM q WHERE contains(r.hay, q.term)) AS overlap FROM r ORDER BY overlap DESC, n_chars DESC, doc_id LIMIT 20")
 def rank_reports(spark, sf_dir, item=3, k=20):
     """Reports by how many of the question's terms they hold, then by rank. The terms of one question are an array, so each report is looked at once."""
     q = table(spark, sf_dir, "benchmark").filter(F.col("item_id") == item).select(F.array_distinct(F.filter(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"), lambda t: F.length(t) >= 4)).alias("terms"))
-    r = table(spark, sf_dir, "documents").filter("doc_id % 5 = 0").select("doc_id", F.lower(F.substring("text", 1, 300)).alias("hay"), "n_chars").join(F.broadcast(q))  # one row
+    r = table(spark, sf_dir, "documents").select("doc_id", F.lower("text").alias("hay"), "n_chars").join(F.broadcast(q))  # one row
     return r.select("doc_id", "n_chars", F.size(F.filter("terms", lambda t: F.contains(F.col("hay"), t))).cast("long").alias("overlap")).orderBy(F.desc("overlap"), F.desc("n_chars"), "doc_id").limit(k).select("doc_id", "overlap")
 
 

@@ -49,11 +49,11 @@ def code_pairs(spark, sf_dir):
     return c.withColumn("next", nxt).filter(F.col("next.col") == F.col("col") + 1).groupBy("sheet").agg(F.count(F.lit(1)).alias("pairs")).filter("pairs >= 2")
 
 
-@query("m24_m25_nearest_parent", "WITH n AS (SELECT DISTINCT k FROM (SELECT CAST(l_orderkey AS VARCHAR) || '.' || CAST(l_linenumber AS VARCHAR) AS k FROM lineitem WHERE l_orderkey < 500 UNION ALL SELECT CAST(o_orderkey AS VARCHAR) FROM orders WHERE o_orderkey < 500 AND o_orderkey % 3 = 0)) SELECT a.k, b.k AS parent FROM n a LEFT JOIN n b ON b.k = regexp_replace(a.k, '[.][^.]*$', '') AND a.k <> b.k")
+@query("m24_m25_nearest_parent", "WITH n AS (SELECT DISTINCT k FROM (SELECT CAST(l_orderkey AS VARCHAR) || '.' || CAST(l_linenumber AS VARCHAR) AS k FROM lineitem UNION ALL SELECT CAST(o_orderkey AS VARCHAR) FROM orders WHERE o_orderstatus = 'P')) SELECT a.k, b.k AS parent FROM n a LEFT JOIN n b ON b.k = regexp_replace(a.k, '[.][^.]*$', '') AND a.k <> b.k")
 def nearest_parent(spark, sf_dir):
     """The longest proper prefix of a dotted number that occurs itself: prefixes are spread out and joined, not compared with all."""
-    lines = table(spark, sf_dir, "lineitem").filter("l_orderkey < 500").select(F.concat_ws(".", "l_orderkey", "l_linenumber").alias("k"))
-    heads = table(spark, sf_dir, "orders").filter("o_orderkey < 500 AND o_orderkey % 3 = 0").select(F.col("o_orderkey").cast("string").alias("k"))
+    lines = table(spark, sf_dir, "lineitem").select(F.concat_ws(".", "l_orderkey", "l_linenumber").alias("k"))
+    heads = table(spark, sf_dir, "orders").filter("o_orderstatus = 'P'").select(F.col("o_orderkey").cast("string").alias("k"))
     n = lines.union(heads).distinct()
     parts = F.split("k", "[.]")
     prefixes = n.select("k", F.explode_outer(F.when(F.size(parts) > 1, F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda i: F.array_join(F.slice(parts, 1, i), ".")))).alias("prefix"))

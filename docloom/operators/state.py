@@ -33,11 +33,11 @@ def upsert(spark, sf_dir):
     return keep_last(jobs(spark, sf_dir).select("worker", "kind", "id", "status", "created_at"), ["worker", "kind"], ["created_at", "id"]).select("worker", "kind", "id", "status")
 
 
-@query("h4_fenced_update", f"WITH {JOBS}, l AS (SELECT id, CASE WHEN id % 9 = 0 THEN 'w0' ELSE worker END AS w, attempts FROM jobs WHERE id % 2 = 0) SELECT l.id, j.id IS NULL AS lost FROM l LEFT JOIN jobs j ON j.id = l.id AND j.worker = l.w AND j.attempts = l.attempts AND j.status = 'running'")
+@query("h4_fenced_update", f"WITH {JOBS}, l AS (SELECT id, CASE WHEN id % 9 = 0 THEN 'w0' ELSE worker END AS w, attempts FROM jobs) SELECT l.id, j.id IS NULL AS lost FROM l LEFT JOIN jobs j ON j.id = l.id AND j.worker = l.w AND j.attempts = l.attempts AND j.status = 'running'")
 def fenced_update(spark, sf_dir):
     """Updates match owner, attempt and state; what matches nothing has lost its lease."""
     j = jobs(spark, sf_dir)
-    lease = j.filter("id % 2 = 0").select(F.col("id").alias("lid"), F.when(F.col("id") % 9 == 0, "w0").otherwise(F.col("worker")).alias("w"), F.col("attempts").alias("a"))
+    lease = j.select(F.col("id").alias("lid"), F.when(F.col("id") % 9 == 0, "w0").otherwise(F.col("worker")).alias("w"), F.col("attempts").alias("a"))
     held = j.filter("status = 'running'").select("id", "worker", "attempts")
     return lease.join(held, (F.col("id") == F.col("lid")) & (F.col("worker") == F.col("w")) & (F.col("attempts") == F.col("a")), "left").select(F.col("lid").alias("id"), F.col("id").isNull().alias("lost"))
 

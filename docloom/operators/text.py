@@ -22,9 +22,9 @@ def numbering(spark, sf_dir):
     return table(spark, sf_dir, "lineitem").select("l_orderkey", n.cast("long").alias("l_linenumber"), T.numbering_level(t).cast("long").alias("level"))
 
 
-@query("i12_keywords", "SELECT doc_id, array_to_string(list_slice(list_filter(list_distinct_ordered, lambda w: true), 1, 12), ' ') AS keywords FROM (SELECT doc_id, list_transform(list_sort(list_transform(map_entries(m), lambda e: {'k': e.value, 'w': e.key})), lambda x: x.w) AS list_distinct_ordered FROM (SELECT doc_id, map_from_entries(list({'key': w, 'value': k})) AS m FROM (SELECT doc_id, w, min(k) AS k FROM (SELECT doc_id, regexp_replace(unnest(s), '^[.()!?\"'']+|[.()!?\"'']+$', '', 'g') AS w, generate_subscripts(s, 1) AS k FROM (SELECT doc_id, regexp_split_to_array(lower(left(text, 400)), '[\\x20\\x09-\\x0D,;:/|]+') AS s FROM documents)) WHERE length(w) >= 2 AND w NOT IN ('the', 'de', 'of', 'and') GROUP BY 1, 2) GROUP BY doc_id))")
+@query("i12_keywords", "SELECT doc_id, array_to_string(list_slice(list_filter(list_distinct_ordered, lambda w: true), 1, 12), ' ') AS keywords FROM (SELECT doc_id, list_transform(list_sort(list_transform(map_entries(m), lambda e: {'k': e.value, 'w': e.key})), lambda x: x.w) AS list_distinct_ordered FROM (SELECT doc_id, map_from_entries(list({'key': w, 'value': k})) AS m FROM (SELECT doc_id, w, min(k) AS k FROM (SELECT doc_id, regexp_replace(unnest(s), '^[.()!?\"'']+|[.()!?\"'']+$', '', 'g') AS w, generate_subscripts(s, 1) AS k FROM (SELECT doc_id, regexp_split_to_array(lower(text), '[\\x20\\x09-\\x0D,;:/|]+') AS s FROM documents)) WHERE length(w) >= 2 AND w NOT IN ('the', 'de', 'of', 'and') GROUP BY 1, 2) GROUP BY doc_id))")
 def keywords(spark, sf_dir):
-    words = T.keywords(F.substring("text", 1, 400), ("the", "de", "of", "and"), 12)
+    words = T.keywords(F.col("text"), ("the", "de", "of", "and"), 12)
     return table(spark, sf_dir, "documents").select("doc_id", F.array_join(words, " ").alias("keywords")).filter("keywords <> ''")
 
 
@@ -69,15 +69,13 @@ def error_class(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", F.when((c >= 500) | (c == 429), "retry").when(c >= 400, "fatal").otherwise("ok").alias("class"))
 
 
-@query("i42_clip_numeric", "SELECT doc_id, CASE WHEN length(text) > 80 THEN left(text, 79) || '…' ELSE text END AS clipped, len(regexp_extract_all(left(text, 200), '[0-9]')) * 2 > length(left(text, 200)) AS numeric_heavy FROM documents")
+@query("i42_clip_numeric", "SELECT doc_id, CASE WHEN length(text) > 80 THEN left(text, 79) || '…' ELSE text END AS clipped, len(regexp_extract_all(text, '[0-9]')) * 2 > length(text) AS numeric_heavy FROM documents")
 def clip_numeric(spark, sf_dir):
-    head = F.substring("text", 1, 200)
-    return table(spark, sf_dir, "documents").select("doc_id", T.clip(F.col("text"), 80).alias("clipped"), (F.regexp_count(head, F.lit("[0-9]")) * 2 > F.length(head)).alias("numeric_heavy"))
+    return table(spark, sf_dir, "documents").select("doc_id", T.clip(F.col("text"), 80).alias("clipped"), (F.regexp_count("text", F.lit("[0-9]")) * 2 > F.length("text")).alias("numeric_heavy"))
 
 
-@query("i43_char_ngrams", "SELECT g, count(*) AS n FROM (SELECT lower(substr(t, unnest(range(1, length(t) - 1)), 3)) AS g FROM (SELECT left(text, 200) AS t FROM conversations WHERE length(text) >= 3)) GROUP BY 1 HAVING count(*) >= 20")
+@query("i43_char_ngrams", "SELECT g, count(*) AS n FROM (SELECT lower(substr(t, unnest(range(1, length(t) - 1)), 3)) AS g FROM (SELECT text AS t FROM conversations WHERE length(text) >= 3)) GROUP BY 1 HAVING count(*) >= 20")
 def char_ngrams(spark, sf_dir):
-    t = F.substring("text", 1, 200)
-    c = table(spark, sf_dir, "conversations").filter(F.length("text") >= 3).select(t.alias("t"))
+    c = table(spark, sf_dir, "conversations").filter(F.length("text") >= 3).select(F.col("text").alias("t"))
     grams = c.select(F.explode(F.transform(F.sequence(F.lit(1), F.length("t") - 2), lambda i: F.lower(F.substring("t", i, 3)))).alias("g"))
     return grams.groupBy("g").agg(F.count(F.lit(1)).alias("n")).filter("n >= 20")

@@ -63,11 +63,11 @@ def greedy_pack(spark, sf_dir, cap=1100):
 
 @query(
     "e11_context_windows",
-    "SELECT conv_id, turn, coalesce(string_agg(t, ' ') OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING), '') AS before, coalesce(string_agg(t, ' ') OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN 1 FOLLOWING AND 6 FOLLOWING), '') AS after FROM (SELECT conv_id, turn, left(text, 20) AS t FROM conversations)",
+    "SELECT conv_id, turn, coalesce(string_agg(t, ' ') OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING), '') AS before, coalesce(string_agg(t, ' ') OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN 1 FOLLOWING AND 6 FOLLOWING), '') AS after FROM (SELECT conv_id, turn, text AS t FROM conversations)",
 )
 def context_windows(spark, sf_dir, before=3, after=6):
     w = W.partitionBy("conv_id").orderBy("turn")
-    joined = lambda lo, hi: F.array_join(F.collect_list(F.substring("text", 1, 20)).over(w.rowsBetween(lo, hi)), " ")
+    joined = lambda lo, hi: F.array_join(F.collect_list("text").over(w.rowsBetween(lo, hi)), " ")
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", joined(-before, -1).alias("before"), joined(1, after).alias("after"))
 
 
@@ -76,11 +76,11 @@ def next_nonblank(spark, sf_dir):
     return table(spark, sf_dir, "conversations").filter(F.trim("text") != "").select("conv_id", "turn", F.lead("role").over(W.partitionBy("conv_id").orderBy("turn")).alias("next_role"))
 
 
-@query("e13_heading_path", "WITH l AS (SELECT conv_id, turn, role, CASE WHEN role = 'system' THEN 1 WHEN role = 'user' THEN 2 ELSE 3 END AS lv, left(text, 12) AS t FROM conversations), h AS (SELECT conv_id, turn, lv, last_value(CASE WHEN lv = 1 THEN t END IGNORE NULLS) OVER w AS h1, last_value(CASE WHEN lv = 2 THEN t END IGNORE NULLS) OVER w AS h2 FROM l WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) SELECT conv_id, turn, concat_ws(' > ', h1, CASE WHEN lv >= 2 THEN h2 END) AS path FROM h")
+@query("e13_heading_path", "WITH l AS (SELECT conv_id, turn, role, CASE WHEN role = 'system' THEN 1 WHEN role = 'user' THEN 2 ELSE 3 END AS lv, text AS t FROM conversations), h AS (SELECT conv_id, turn, lv, last_value(CASE WHEN lv = 1 THEN t END IGNORE NULLS) OVER w AS h1, last_value(CASE WHEN lv = 2 THEN t END IGNORE NULLS) OVER w AS h2 FROM l WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) SELECT conv_id, turn, concat_ws(' > ', h1, CASE WHEN lv >= 2 THEN h2 END) AS path FROM h")
 def heading_path(spark, sf_dir):
     """The stack of headings above each row: the last of each level so far."""
     level = F.when(F.col("role") == "system", 1).when(F.col("role") == "user", 2).otherwise(3)
-    c = table(spark, sf_dir, "conversations").select("conv_id", "turn", level.alias("lv"), F.substring("text", 1, 12).alias("t"))
+    c = table(spark, sf_dir, "conversations").select("conv_id", "turn", level.alias("lv"), F.col("text").alias("t"))
     w = W.partitionBy("conv_id").orderBy("turn").rowsBetween(W.unboundedPreceding, 0)
     last = lambda k: F.last(F.when(F.col("lv") == k, F.col("t")), ignorenulls=True).over(w)
     return c.select("conv_id", "turn", "lv", last(1).alias("h1"), last(2).alias("h2")).select("conv_id", "turn", F.concat_ws(" > ", "h1", F.when(F.col("lv") >= 2, F.col("h2"))).alias("path"))
