@@ -40,7 +40,7 @@ class Brute:
 
     def score(self, t):
         w = toks(t)
-        return sum(math.log10(self.p(u, x)) for u, x in zip(["<s>", *w[:-1]], w, strict=True)), sum(math.log10((self.uni[x] + 1) / ((self.n + 1) * (self.v + 1))) for x in w), len(w), sum(self.uni[x] > 0 for x in w)
+        return sum(math.log10(self.p(u, x)) for u, x in zip(["<s>", *w[:-1]], w, strict=True)), sum(math.log10((self.uni[x] + 1) / (self.n + 1 * (self.v + 1))) for x in w), len(w), sum(self.uni[x] > 0 for x in w)
 
 
 def test_against_brute_force(spark, monkeypatch):
