@@ -14,6 +14,7 @@ import math
 import os
 import tempfile
 import zlib
+from collections import OrderedDict
 from collections.abc import Iterator
 from urllib.parse import urlparse
 
@@ -154,7 +155,9 @@ def save(path: str, array: np.ndarray) -> None:
         system.move(tmp, where)
 
 
-_maps: dict[str, np.ndarray] = {}
+#: Maps that a worker keeps open (each holds a file descriptor); of more, the one not used for longest is closed.
+MAPS = 240
+_maps: OrderedDict[str, np.ndarray] = OrderedDict()
 
 
 def mapped(path: str, kind) -> np.ndarray:
@@ -174,6 +177,9 @@ def mapped(path: str, kind) -> np.ndarray:
             _maps[path] = np.zeros(0, kind)
         else:
             _maps[path] = np.memmap(at, kind, "r")
+        while len(_maps) > MAPS:
+            _maps.popitem(last=False)
+    _maps.move_to_end(path)
     return _maps[path]
 
 
@@ -305,7 +311,7 @@ class Scorer:
         return p
 
 
-_SCORES = "doc_id long, n_tokens long, n_known long, base_score double, score double"
+_SCORES = "doc_id long, n_tokens long, n_known long, base_score double, score double, perplexity double"
 
 
 def _score(model: dict):
@@ -327,7 +333,8 @@ def _score(model: dict):
                     pa.array(np.diff(start)),
                     pa.array(np.add.reduceat((count[back] > 0).astype(np.int64), at)),
                     pa.array(np.add.reduceat(np.log10(count[back] + 1.0), at) - np.diff(start) * floor),
-                    pa.array(np.add.reduceat(np.log10(p)[pair_back], at)),
+                    pa.array(total := np.add.reduceat(np.log10(p)[pair_back], at)),
+                    pa.array(10.0 ** (-total / np.diff(start))),
                 ]
                 yield pa.RecordBatch.from_arrays(cols, names=[x.split()[0] for x in _SCORES.split(", ")])
 
@@ -339,7 +346,7 @@ def held_out(doc_id: Column) -> Column:
 
 
 def score(docs: DataFrame, model: dict, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """One row a document: doc_id, n_tokens, n_known, base_score, score (log10 probability). No shuffle."""
+    """One row a document: doc_id, n_tokens, n_known, base_score, score (log10 probability), perplexity (by token). No shuffle."""
     return docs.select(F.col(doc_id).cast("long"), F.col(text).cast("string")).mapInArrow(_score(model), _SCORES)
 
 
@@ -347,4 +354,4 @@ def op7_kneser_ney(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     model = fit(docs.filter(~held_out(F.col("doc_id"))).select("text"))
     out = score(docs, model)
-    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known", F.lit(model["tokens"]).cast("long").alias("train_tokens"), "base_score", "score")
+    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known", F.lit(model["tokens"]).cast("long").alias("train_tokens"), "base_score", "score", "perplexity")

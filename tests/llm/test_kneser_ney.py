@@ -80,3 +80,24 @@ def test_empty(spark):
     assert score(none, fit(none.select("text"))).collect() == []
     one = score(spark.createDataFrame([(1, "a b")], "doc_id long, text string"), fit(none.select("text"))).first()
     assert one.score == 0.0 and one.n_tokens == 3
+
+
+def test_perplexity_and_few_maps(spark, monkeypatch):
+    """With fewer maps than the model has arrays, scores stay the same; perplexity is the inverse probability by token."""
+    import numpy as np
+
+    from docloom.llm import kneser_ney as kn
+
+    docs = [(k, " ".join(f"w{(k * j) % 50}" for j in range(k % 40))) for k in range(200)] + [(7, "w1 w2"), (None, None)]
+    df = spark.createDataFrame([(*d, "x") for d in docs], "doc_id long, text string, score string").repartition(3)
+    model = kn.fit(df.select("text"))
+    rows = kn.score(df, model).collect()
+    assert len(rows) == len(docs) and all(abs(r.perplexity - 10 ** (-r.score / r.n_tokens)) < 1e-6 * r.perplexity for r in rows)
+    want = {(r.doc_id, r.n_tokens): r.score for r in rows}
+    monkeypatch.setattr(kn, "MAPS", 2)
+    kn._maps.clear()
+    batch = df.select("doc_id", "text").toArrow().combine_chunks().to_batches()
+    for b in kn._score(model)(iter(batch)):
+        for i, n, score in zip(b["doc_id"].to_pylist(), b["n_tokens"].to_pylist(), b["score"].to_pylist(), strict=True):
+            assert np.isclose(want[i, n], score)
+    assert len(kn._maps) <= 2
