@@ -50,7 +50,7 @@ STAGES = [
     ("packing", packing),
 ]
 
-#: Packing depends on how the rows lie in partitions, and string tiling isn't SQL; tests/llm/test_pipeline.py holds the stages against brute force.
+#: Packing depends on how the rows lie in partitions, and string tiling isn't SQL. tests/llm holds each operator against brute force, and test_pipeline.py the stages against the operators.
 ORACLE_SQL = None
 
 
