@@ -50,3 +50,47 @@ def a1(row: Column, col: Column) -> Column:
 def duration(seconds: Column) -> Column:
     s = F.floor(seconds).cast("long")
     return F.when(s >= 3600, F.format_string("%dh %02dm", F.floor(s / 3600), F.floor(s % 3600 / 60))).when(s >= 60, F.format_string("%dm %02ds", F.floor(s / 60), s % 60)).otherwise(F.format_string("%ds", s))
+
+
+def replaced(c: Column, steps: list[tuple[str, str]]) -> Column:
+    """The pairs of pattern and replacement, applied one after the other."""
+    for pattern, new in steps:
+        c = F.regexp_replace(c, pattern, new)
+    return c
+
+
+def replaced_sql(expr: str, steps: list[tuple[str, str]]) -> str:
+    """The same steps as SQL of the oracle, which writes groups as \\1."""
+    quote = lambda s: s.replace("'", "''")
+    for pattern, new in steps:
+        expr = f"regexp_replace({expr}, '{quote(pattern)}', '{quote(new.replace('$', chr(92)))}', 'g')"
+    return expr
+
+
+def compact(c: Column) -> Column:
+    return F.regexp_replace(c, r"\s+", "")
+
+
+def one_line(c: Column) -> Column:
+    return F.trim(F.regexp_replace(c, r"\s+", " "))
+
+
+def path_frame(parts: Column) -> Column:
+    """Segments joined by " > ": blank ones go, and of those that are equal without white space the first stays."""
+    lines = F.filter(F.transform(parts, one_line), lambda x: x != "")
+    keys = F.transform(lines, compact)
+    return F.array_join(F.filter(lines, lambda x, i: F.array_position(keys, compact(x)) == i + 1), " > ")
+
+
+def sentence_ends(c: Column) -> Column:
+    """Lengths of the prefixes that end with a whole sentence: after a stop that follows no digit and precedes white space, or after line breaks."""
+    parts = F.split(F.regexp_replace(c, r"((?<![0-9])[.!?][)\"'”’」』]?[ \t]+|\n+)", "$1\x1e"), "\x1e", -1)
+    sums = F.aggregate(parts, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("ends")), lambda a, p: F.struct((a["at"] + F.length(p)).alias("at"), F.concat(a["ends"], F.array(a["at"] + F.length(p))).alias("ends")))
+    return F.filter(sums["ends"], lambda e: e < F.length(c))
+
+
+def head_to_sentence(c: Column, budget: int) -> Column:
+    """The whole sentences that fit into the budget; a text within it stays as it is."""
+    # longer prefixes than the budget can't count, so only the start is searched; two characters more show whether the last stop ends a sentence
+    best = F.array_max(F.filter(sentence_ends(F.substring(c, 1, budget + 2)), lambda e: e <= budget))
+    return F.when(F.length(c) <= budget, c).when(best.isNull(), "").otherwise(F.rtrim(F.substring(c, F.lit(1), best)))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from docloom.functions.numbering import numbered
@@ -56,8 +57,6 @@ def private_use_scrub(spark, sf_dir):
 @query("b15_emission_cap", "SELECT doc_id, lang FROM (SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS k FROM documents WHERE lang IN ('en', 'fr', 'de') AND n_chars >= 200) WHERE k <= 40")
 def emission_cap(spark, sf_dir, kinds=("en", "fr", "de"), cap=40, least=200):
     """Profile whitelist, minimum confidence, and a cap for each type in emission order."""
-    from pyspark.sql import Window as W
-
     d = table(spark, sf_dir, "documents").filter(F.col("lang").isin(*kinds) & (F.col("n_chars") >= least))
     return d.withColumn("k", F.row_number().over(W.partitionBy("lang").orderBy("doc_id"))).filter(F.col("k") <= cap).select("doc_id", "lang")
 
@@ -186,8 +185,6 @@ def conflicting_codes(spark, sf_dir):
 @query("d18_nearest_rank", "SELECT event_type, list_sort(list(value))[CAST(floor(0.95 * (count(*) - 1) + 0.5) AS BIGINT) + 1] AS p95, list_sort(list(value))[CAST(floor(0.5 * (count(*) - 1) + 0.5) AS BIGINT) + 1] AS p50, max(value) AS most FROM events GROUP BY 1")
 def nearest_rank(spark, sf_dir):
     """The value at the nearest rank, without interpolation. Ranks come from a window over the rows, so no group is collected."""
-    from pyspark.sql import Window as W
-
     e = table(spark, sf_dir, "events").select("event_type", "value", (F.row_number().over(W.partitionBy("event_type").orderBy("value")) - 1).alias("k"), F.count(F.lit(1)).over(W.partitionBy("event_type")).alias("n"))
     at = lambda p: F.max(F.when(F.col("k") == F.floor(F.lit(p) * (F.col("n") - 1) + 0.5), F.col("value")))
     return e.groupBy("event_type").agg(at(0.95).alias("p95"), at(0.5).alias("p50"), F.max("value").alias("most"))
@@ -237,3 +234,80 @@ def replace_members(spark, sf_dir):
     groups = c.filter("role = 'system'").select("conv_id").distinct()
     whole = c.join(groups, "conv_id", "left_semi").groupBy("conv_id").agg(F.min("turn").alias("turn"), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("turn", "role"))), lambda x: x["role"]), "+").alias("role"))
     return c.join(groups, "conv_id", "left_anti").unionByName(whole)
+
+
+@query("b1_json_projection", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k FROM events WHERE json_extract_string(props, '$.k') IS NOT NULL")
+def json_projection(spark, sf_dir):
+    k = F.get_json_object("props", "$.k")
+    return table(spark, sf_dir, "events").filter(k.isNotNull()).select("event_id", k.cast("double").alias("k"))
+
+
+@query(
+    "b7_job_view",
+    f"WITH {JOBS} SELECT id, status, strftime(created_at, '%Y-%m-%dT%H:%M:%S') AS created_at, CASE WHEN kind = 'click' THEN 'f' || id || '.pdf' END AS filename, CASE WHEN status = 'queued' THEN count(*) FILTER (WHERE status = 'queued') OVER (PARTITION BY kind, workspace ORDER BY created_at, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) END AS ahead FROM jobs",
+)
+def job_view(spark, sf_dir):
+    """What a user may see of a job: a file name for one kind only, times as ISO strings, and the queued jobs ahead in its own partition."""
+    w = W.partitionBy("kind", "workspace").orderBy("created_at", "id").rowsBetween(W.unboundedPreceding, -1)
+    queued = F.col("status") == "queued"
+    ahead = F.coalesce(F.sum(queued.cast("long")).over(w), F.lit(0))
+    return jobs(spark, sf_dir).select(
+        "id",
+        "status",
+        F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss").alias("created_at"),
+        F.when(F.col("kind") == "click", F.concat(F.lit("f"), F.col("id").cast("string"), F.lit(".pdf"))).alias("filename"),
+        F.when(queued, ahead).alias("ahead"),
+    )
+
+
+@query("c8_c9_page_lookups", "WITH l AS (SELECT conv_id, turn, role FROM conversations WHERE turn % 2 = 0), v AS (SELECT conv_id, turn, length(text) AS n FROM conversations WHERE length(text) > 200) SELECT c.conv_id, c.turn, coalesce(l.role, 'odl') AS lane, coalesce(v.n, 0)::BIGINT AS n FROM conversations c LEFT JOIN l USING (conv_id, turn) LEFT JOIN v USING (conv_id, turn)")
+def page_lookups(spark, sf_dir):
+    """Pages with what other relations know of them, and defaults where they know nothing; both joins share one partitioning."""
+    c = table(spark, sf_dir, "conversations")
+    keys = ["conv_id", "turn"]
+    lanes = c.filter("turn % 2 = 0").select(*keys, "role")
+    signals = c.filter(F.length("text") > 200).select(*keys, F.length("text").cast("long").alias("n"))
+    return c.select(*keys).join(lanes, keys, "left").join(signals, keys, "left").select(*keys, F.coalesce("role", F.lit("odl")).alias("lane"), F.coalesce("n", F.lit(0)).alias("n"))
+
+
+@query("d10_source_distribution", "SELECT source, count(*) AS n, count(*) FILTER (WHERE n_chars < 300) AS fallbacks FROM documents GROUP BY 1")
+def source_distribution(spark, sf_dir):
+    return table(spark, sf_dir, "documents").groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("n_chars") < 300).alias("fallbacks"))
+
+
+@query("d11_verdict_summary", f"WITH {JOBS} SELECT status, split_part(stage || ':' || worker, ':', 1) AS reason, count(*) AS n FROM jobs GROUP BY 1, 2")
+def verdict_summary(spark, sf_dir):
+    """Counts by state and the part of the reason before its colon."""
+    reason = F.split_part(F.concat_ws(":", "stage", "worker"), F.lit(":"), F.lit(1))
+    return jobs(spark, sf_dir).groupBy("status", reason.alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("d12_processing_time", f"WITH {JOBS} SELECT workspace, round(sum(CASE WHEN status = 'succeeded' THEN value END), 6) AS took FROM jobs GROUP BY 1")
+def processing_time(spark, sf_dir):
+    """Null, not zero, where nothing was measured."""
+    return jobs(spark, sf_dir).groupBy("workspace").agg(F.round(F.sum(F.when(F.col("status") == "succeeded", F.col("value"))), 6).alias("took"))
+
+
+@query(
+    "d20_call_timing",
+    "SELECT event_type, count(*) AS n, round(sum(value), 4) AS ms, array_to_string(list_transform(list_sort(list(value), 'DESC')[1:20], lambda x: printf('%.3f', x)), ',') AS top FROM events GROUP BY 1",
+)
+def call_timing(spark, sf_dir, most=20):
+    """Calls and their time by type, with the slowest: ranks are cut before the shuffle, so that no type's calls meet in one list."""
+    e = table(spark, sf_dir, "events").select("event_type", "value", "event_id")
+    top = e.withColumn("k", F.row_number().over(W.partitionBy("event_type").orderBy(F.desc_nulls_last("value"), "event_id"))).filter(F.col("k") <= most)
+    top = top.groupBy("event_type").agg(F.array_join(F.transform(F.sort_array(F.collect_list("value"), False), lambda x: F.format_string("%.3f", x)), ",").alias("top"))
+    return e.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("ms")).join(top, "event_type")
+
+
+@query("g5_domain_union", "SELECT 1::BIGINT AS domain, page_id AS id, url AS name FROM pages UNION ALL SELECT 2, doc_id, source FROM documents UNION ALL SELECT 3, p_partkey, p_name FROM part")
+def domain_union(spark, sf_dir):
+    """The outputs of all domains as one relation; the domain's number keeps their order."""
+    part = lambda k, t, i, n: table(spark, sf_dir, t).select(F.lit(k).cast("long").alias("domain"), F.col(i).alias("id"), F.col(n).alias("name"))
+    return part(1, "pages", "page_id", "url").unionByName(part(2, "documents", "doc_id", "source")).unionByName(part(3, "part", "p_partkey", "p_name"))
+
+
+@query("g7_distinct_in_order", "SELECT conv_id, string_agg(role, ',' ORDER BY turn) AS roles FROM (SELECT conv_id, role, min(turn) AS turn FROM conversations GROUP BY 1, 2) GROUP BY 1")
+def distinct_in_order(spark, sf_dir):
+    c = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role"))).alias("t"))
+    return c.select("conv_id", F.array_join(F.array_distinct("t.role"), ",").alias("roles"))

@@ -81,3 +81,46 @@ def severities(spark, sf_dir):
 
 def drop_hard(assessed: DataFrame) -> DataFrame:
     return assessed.filter("severity <> 'hard'")
+
+
+def table_cells(body: Column) -> Column:
+    """Cells of an HTML table as text without tags, trimmed."""
+    return F.transform(F.regexp_extract_all(body, F.lit(r"(?is)<t[dh][^>]*>(.*?)</t[dh]>"), F.lit(1)), lambda c: F.trim(F.regexp_replace(c, "<[^>]+>", "")))
+
+
+def table_rules(df: DataFrame, body: str) -> DataFrame:
+    """Adds rules, an array: R1 compresses below 0.16; R2 one cell makes up 0.6 of those with two characters or more; R3 it makes up 0.35, and the table compresses
+    below 0.36; R4 at most 0.45 of 30 words or more are distinct. R1 needs 200 characters, and what is shorter counts as not compressible; the others need 20 cells.
+    A null or empty body has no rules."""
+    d = df.withColumn("_cells", table_cells(F.col(body)))
+    d = d.withColumn("_joined", F.array_join(F.filter("_cells", lambda c: c != ""), " ")).withColumn("_many", F.filter("_cells", lambda c: F.length(c) >= 2))
+    d = d.withColumn("_comp", F.when(F.length("_joined") >= 200, compression_ratio("_joined")).otherwise(1.0)).withColumn("_w", words(F.col("_joined")))
+    enough, share = F.size("_many") >= 20, top_ngram("_many", 1) / F.size("_many")
+    few = (F.size("_w") >= 30) & (F.size(F.array_distinct("_w")) <= 0.45 * F.size("_w"))
+    rules = F.array(F.when(F.col("_comp") < 0.16, "R1"), F.when(enough & (share >= 0.6), "R2"), F.when(enough & (share >= 0.35) & (F.col("_comp") < 0.36), "R3"), F.when(enough & few, "R4"))
+    return d.withColumn("rules", F.filter(rules, lambda r: r.isNotNull())).drop("_cells", "_joined", "_many", "_comp", "_w")
+
+
+def order_tables(spark, sf_dir) -> DataFrame:
+    """An HTML table for each order: a row of four cells for each of its lines, of which there are few."""
+    cell = lambda *c: F.concat(F.lit("<td>"), *c, F.lit("</td>"))
+    row = F.concat(F.lit("<tr>"), cell(F.lit("flag "), "l_returnflag"), cell(F.lit("status "), "l_linestatus"), cell(F.lit("y "), F.year("l_shipdate").cast("string")), cell(F.lit("state "), "l_linestatus"), F.lit("</tr>"))
+    t = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("l_linenumber", row.alias("r")))), lambda x: x["r"]), "").alias("body"))
+    return t.select("l_orderkey", F.concat(F.lit("<table>"), "body", F.lit("</table>")).alias("body"))
+
+
+@query("k4_k6_table_rules")
+def order_table_rules(spark, sf_dir):
+    return table_rules(order_tables(spark, sf_dir), "body").select("l_orderkey", F.array_join("rules", ",").alias("rules"))
+
+
+@query("k8_k10_pages")
+def assessed_pages(spark, sf_dir):
+    """Orders as blocks of a page, their customer: visible characters in all, in hard and in soft blocks, and whether any block is degenerate. Nothing is changed."""
+    from docloom.functions.text import visible_chars
+
+    b = table_rules(order_tables(spark, sf_dir), "body")
+    b = b.select("l_orderkey", visible_chars(F.col("body")).cast("long").alias("n"), severity(F.col("rules"), ("R3", "R4")).alias("s"))
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    part = lambda s: F.coalesce(F.sum(F.when(F.col("s") == s, F.col("n"))), F.lit(0)).alias(f"chars_{s}")
+    return b.join(o, "l_orderkey").groupBy("o_custkey").agg(F.sum("n").alias("chars"), part("hard"), part("soft"), F.bool_or(F.col("s") != "none").alias("degenerate"))

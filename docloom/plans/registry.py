@@ -28,7 +28,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def load() -> None:
-    from docloom.operators import blocks, graph, jobs, pages, relational, repetition, retrieval, sheets, state, text, windows  # noqa: F401
+    from docloom.operators import admission, blocks, graph, jobs, markdown, pages, relational, repetition, retrieval, sheets, state, text, windows  # noqa: F401
 
 
 load()
