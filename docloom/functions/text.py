@@ -94,3 +94,86 @@ def head_to_sentence(c: Column, budget: int) -> Column:
     # longer prefixes than the budget can't count, so only the start is searched; two characters more show whether the last stop ends a sentence
     best = F.array_max(F.filter(sentence_ends(F.substring(c, 1, budget + 2)), lambda e: e <= budget))
     return F.when(F.length(c) <= budget, c).when(best.isNull(), "").otherwise(F.rtrim(F.substring(c, F.lit(1), best)))
+
+
+def tail_from_sentence(c: Column, budget: int, over: int = 200) -> Column:
+    """The end of a text, about as long as the budget, from the start of a sentence: of the one that the cut falls in, if that adds no more than over characters;
+    else of the next; without either, the last budget characters. Only the end is searched."""
+    n = F.length(c)
+    cut, off = n - budget, F.greatest(F.lit(0), n - (budget + over + 2))
+    starts = F.concat(F.array(F.lit(0)), F.transform(sentence_ends(F.substring(c, off + 1, n)), lambda e: e + off))
+    back = F.array_max(F.filter(starts, lambda s: (s <= cut) & (n - s <= budget + over)))
+    ahead = F.array_min(F.filter(starts, lambda s: s > cut))
+    return F.when(n <= budget, c).otherwise(F.substring(c, F.coalesce(back, ahead, cut) + 1, n))
+
+
+# fixed values: marks of tables and what they mean
+MARKS = {"○": "applicable", "◯": "applicable", "●": "applicable_primary", "◎": "applicable_special", "△": "conditional", "▲": "conditional", "×": "not_applicable", "X": "not_applicable", "✕": "not_applicable", "Y": "yes", "N": "no", "✓": "checked", "✔": "checked", "해당": "applicable", "대상": "applicable", "필수": "required", "선택": "optional"}
+UNCLEAR_MARKS = ("O", "o", "0")
+MARK_LABELS = {"applicable": "해당", "applicable_primary": "주관", "applicable_special": "특별 해당", "conditional": "조건부 해당", "not_applicable": "비해당", "yes": "예", "no": "아니오", "checked": "체크됨", "required": "필수", "optional": "선택"}
+NOTE_STARTS = ("※", "주)", "주:", "주.", "비고", "참고", "단,", "단서", "* ", "(단,", "(※")
+TOTALS = ("합계", "소계", "총계", "계", "total", "subtotal")
+
+
+def lookup(c: Column, values: dict) -> Column:
+    return F.try_element_at(F.create_map(*[F.lit(x) for kv in values.items() for x in kv]), c)
+
+
+def is_mark(c: Column) -> Column:
+    t = compact(c)
+    return F.coalesce(t.isin(*MARKS, *UNCLEAR_MARKS) | t.rlike("^[○●◎◯△▲×X✕✓✔]+$"), F.lit(False))
+
+
+def mark_meaning(c: Column) -> Column:
+    """Null for what is no mark, and for runs of marks other than circles."""
+    t = compact(c)
+    return F.coalesce(lookup(t, MARKS), F.when(t.isin(*UNCLEAR_MARKS) | t.rlike("^[○◯]+$"), "applicable").when(t.rlike("^●+$"), "applicable_primary"))
+
+
+def is_note(c: Column) -> Column:
+    t = one_line(c)
+    out = F.lit(False)
+    for p in NOTE_STARTS:
+        out = out | t.startswith(p)
+    return F.coalesce(out, F.lit(False))
+
+
+def is_total(c: Column) -> Column:
+    return F.coalesce(F.lower(compact(c)).isin(*TOTALS), F.lit(False))
+
+
+def is_code(c: Column) -> Column:
+    """Short codes: letters and digits like A01, or a few letters or syllables without a space."""
+    t = one_line(c)
+    return F.coalesce((F.length(t) <= 12) & t.rlike("^(?:[A-Z]{1,5}[0-9]{0,4}|[가-힣]{1,4}|[A-Za-z가-힣]{1,6})$"), F.lit(False))
+
+
+def is_code_with_note(c: Column) -> Column:
+    """A code, or one followed by its meaning in brackets."""
+    t = one_line(c)
+    return is_code(t) | (F.coalesce(t.rlike(r"^[A-Za-z가-힣0-9]{1,8}\s*\([^()]{1,24}\)$"), F.lit(False)) & is_code(F.regexp_extract(t, r"^([^\s(]*)", 1)))
+
+
+def is_percent_format(c: Column) -> Column:
+    """A percent sign that isn't quoted or escaped."""
+    return F.coalesce(F.contains(replaced(c, [('"[^"]*"', ""), (r"\\.", "")]), F.lit("%")), F.lit(False))
+
+
+def percent_decimals(c: Column) -> Column:
+    return F.coalesce(F.length(F.regexp_extract(c, r"0\.(0+)%", 1)), F.lit(0))
+
+
+def struck(c: Column, is_struck: Column) -> Column:
+    """Struck-out text says so in words, once."""
+    t = F.coalesce(c, F.lit(""))
+    return F.when(is_struck & (t != "") & ~F.rtrim(t).endswith("(취소선)"), F.concat(t, F.lit(" (취소선)"))).otherwise(t)
+
+
+def digital_length(md: Column) -> Column:
+    """Characters of a page's markdown without image lines, tags and white space."""
+    return F.length(replaced(F.coalesce(md, F.lit("")), [(r"(^|\n)[ \t]*!\[[^\n]*", "$1"), ("<[^>]+>", ""), (r"\s+", "")]))
+
+
+def without_markers(c: Column) -> Column:
+    """Marks of atomic parts go, what they enclose stays."""
+    return replaced(c, [("〈/MODAL〉", ""), ("〈MODAL[^〉]*〉", "")])

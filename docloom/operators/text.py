@@ -79,3 +79,101 @@ def char_ngrams(spark, sf_dir):
     c = table(spark, sf_dir, "conversations").filter(F.length("text") >= 3).select(F.col("text").alias("t"))
     grams = c.select(F.explode(F.transform(F.sequence(F.lit(1), F.length("t") - 2), lambda i: F.lower(F.substring("t", i, 3)))).alias("g"))
     return grams.groupBy("g").agg(F.count(F.lit(1)).alias("n")).filter("n >= 20")
+
+
+def _pick(values, key: str, step: int = 1):
+    return F.element_at(F.array(*map(F.lit, values)), (F.floor(F.col(key) / step) % len(values) + 1).cast("int"))
+
+
+def _pick_sql(values, key: str, step: int = 1) -> str:
+    return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + f"][CAST({key} // {step} % {len(values)} + 1 AS INTEGER)]"
+
+
+@query(
+    "i2_path_frame",
+    "WITH p AS (SELECT n_nationkey, unnest([r_name, ' ' || r_name || ' ', '', n_name, replace(n_name, '_', ' _'), lower(n_name)]) AS s, unnest(range(6)) AS i FROM nation JOIN region ON r_regionkey = n_regionkey), k AS (SELECT *, row_number() OVER (PARTITION BY n_nationkey, replace(s, ' ', '') ORDER BY i) AS k FROM p WHERE trim(s) <> '') SELECT n_nationkey, string_agg(trim(s), ' > ' ORDER BY i) AS path FROM k WHERE k = 1 GROUP BY 1",
+)
+def path_frames(spark, sf_dir):
+    n = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    return n.select("n_nationkey", T.path_frame(F.array("r_name", F.concat(F.lit(" "), "r_name", F.lit(" ")), F.lit(""), "n_name", F.replace("n_name", F.lit("_"), F.lit(" _")), F.lower("n_name"))).alias("path"))
+
+
+@query("i3_row_sentence", "SELECT c_custkey, 'book > ' || n_name || CASE WHEN c_mktsegment <> n_name THEN ' > ' || c_mktsegment ELSE '' END || ' 항목: name: ' || c_name || ', balance: ' || floor(c_acctbal)::BIGINT AS sentence FROM customer JOIN nation ON n_nationkey = c_nationkey")
+def row_sentences(spark, sf_dir):
+    """Document, sheet and path, neighbours that are equal once, then the pairs of the row."""
+    c = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("n_nationkey") == F.col("c_nationkey"))
+    parts = F.array(F.lit("book"), F.lit("book"), "n_name", F.lit(""), "c_mktsegment")
+    parts = F.filter(parts, lambda x: x != "")
+    path = F.array_join(F.filter(parts, lambda x, i: (i == 0) | (x != F.get(parts, F.greatest(i - 1, F.lit(0))))), " > ")
+    return c.select("c_custkey", F.concat(path, F.lit(" 항목: name: "), "c_name", F.lit(", balance: "), F.floor("c_acctbal").cast("string")).alias("sentence"))
+
+
+_MARKS = ("○", "X ", "○○", "●●", "△▲", "o", "아니", "✔", "필 수", "Y", "")
+
+
+@query(
+    "i4_marks",
+    f"WITH v AS (SELECT doc_id, replace({_pick_sql(_MARKS, 'doc_id')}, ' ', '') AS t FROM documents), m AS (SELECT *, MAP {T.MARKS}[t] AS known FROM v) SELECT doc_id, t <> '' AND (known IS NOT NULL OR t IN ('O', 'o', '0') OR regexp_full_match(t, '[○●◎◯△▲×X✕✓✔]+')) AS is_mark, coalesce(known, CASE WHEN t IN ('O', 'o', '0') OR regexp_full_match(t, '[○◯]+') THEN 'applicable' WHEN regexp_full_match(t, '●+') THEN 'applicable_primary' END) AS meaning FROM m",
+)
+def marks(spark, sf_dir):
+    v = table(spark, sf_dir, "documents").select("doc_id", _pick(_MARKS, "doc_id").alias("v"))
+    return v.select("doc_id", T.is_mark(F.col("v")).alias("is_mark"), T.mark_meaning(F.col("v")).alias("meaning"))
+
+
+_CELLS = ("※ see", "Total", "소 계", "* a", "단, b", "A01", "HR", "totals", "CPO(officer)", "abcdefg", "1a", "")
+
+
+@query(
+    "i6_i11_cell_kinds",
+    f"WITH v AS (SELECT doc_id, {_pick_sql(_CELLS, 'doc_id')} AS v FROM documents) SELECT doc_id, regexp_matches(v, '^(※|주\\)|주:|주\\.|비고|참고|단,|단서|\\* |\\(단,|\\(※)') AS note, lower(replace(v, ' ', '')) IN {T.TOTALS} AS total, length(v) <= 12 AND regexp_full_match(v, '[A-Z]{{1,5}}[0-9]{{0,4}}|[가-힣]{{1,4}}|[A-Za-z가-힣]{{1,6}}') AS code, v = 'CPO(officer)' OR (length(v) <= 12 AND regexp_full_match(v, '[A-Z]{{1,5}}[0-9]{{0,4}}|[가-힣]{{1,4}}|[A-Za-z가-힣]{{1,6}}')) AS code_or_note FROM v",
+)
+def cell_kinds(spark, sf_dir):
+    v = table(spark, sf_dir, "documents").select("doc_id", _pick(_CELLS, "doc_id").alias("v"))
+    return v.select("doc_id", T.is_note(F.col("v")).alias("note"), T.is_total(F.col("v")).alias("total"), T.is_code(F.col("v")).alias("code"), T.is_code_with_note(F.col("v")).alias("code_or_note"))
+
+
+_FORMATS = ("0.0%", "0.00%", "0%", '0.0"%"', "0\\%", "#,##0")
+
+
+@query("i14_percent_formats", f"WITH v AS (SELECT doc_id, {_pick_sql(_FORMATS, 'doc_id')} AS v FROM documents) SELECT doc_id, regexp_matches(v, '^0(\\.0+)?%$') AS percent, length(regexp_extract(v, '0\\.(0+)%', 1))::BIGINT AS decimals FROM v")
+def percent_formats(spark, sf_dir):
+    v = table(spark, sf_dir, "documents").select("doc_id", _pick(_FORMATS, "doc_id").alias("v"))
+    return v.select("doc_id", T.is_percent_format(F.col("v")).alias("percent"), T.percent_decimals(F.col("v")).cast("long").alias("decimals"))
+
+
+@query("i17_struck", "SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN o_orderpriority || ' (취소선)' ELSE o_orderpriority END AS shown FROM orders")
+def struck_values(spark, sf_dir):
+    is_struck = F.col("o_orderstatus") == "F"
+    return table(spark, sf_dir, "orders").select("o_orderkey", T.struck(T.struck(F.col("o_orderpriority"), is_struck), is_struck).alias("shown"))
+
+
+@query("i20_digital_length", "SELECT doc_id, length(regexp_replace(text, '\\s+', '', 'g'))::BIGINT AS n FROM (SELECT doc_id, regexp_replace(text, '<[^>]+>', '', 'g') AS text FROM documents)")
+def digital_lengths(spark, sf_dir):
+    md = F.concat(F.lit("![a](b c).png)\n"), "text", F.lit("\n  ![x](y)\n<table><td> </td></table>"))
+    return table(spark, sf_dir, "documents").select("doc_id", T.digital_length(md).cast("long").alias("n"))
+
+
+@query("b11_markers_off", "SELECT conv_id, turn, text FROM conversations")
+def markers_off(spark, sf_dir):
+    marked = F.concat(F.lit('〈MODAL id="T1" type="table"〉'), "text", F.lit("〈/MODAL〉"))
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", T.without_markers(marked).alias("text"))
+
+
+@query("i30_sentence_cuts")
+def sentence_cuts(spark, sf_dir, before=100, after=200):
+    """Context around a part: the end of what precedes it and the start of what follows, in whole sentences."""
+    d = table(spark, sf_dir, "documents")
+    return d.select("doc_id", T.tail_from_sentence(F.col("text"), before).alias("tail"), T.head_to_sentence(F.col("text"), after).alias("head"))
+
+
+@query("i33_slugs", "SELECT conv_id, 'kb-' || replace(CAST(conv_id AS VARCHAR) || '-a-b', '-', '') AS slug FROM conversations GROUP BY conv_id")
+def slugs(spark, sf_dir):
+    return table(spark, sf_dir, "conversations").select("conv_id").distinct().select("conv_id", F.concat(F.lit("kb-"), F.replace(F.concat(F.col("conv_id").cast("string"), F.lit("-a-b")), F.lit("-"), F.lit(""))).alias("slug"))
+
+
+@query("i37_attempt_trails", "SELECT user_id, string_agg(event_type || ':' || event_id % 3 || CASE WHEN event_id % 4 = 0 THEN '(' || event_id % 5 || ')' ELSE '' END, ' → ' ORDER BY event_id) AS trail FROM events GROUP BY 1")
+def attempt_trails(spark, sf_dir):
+    """Steps as stage:outcome(detail), in order."""
+    i = F.col("event_id")
+    step = F.concat("event_type", F.lit(":"), (i % 3).cast("string"), F.when(i % 4 == 0, F.concat(F.lit("("), (i % 5).cast("string"), F.lit(")"))).otherwise(""))
+    return table(spark, sf_dir, "events").groupBy("user_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("event_id", step.alias("s")))), lambda x: x["s"]), " → ").alias("trail"))
