@@ -133,3 +133,22 @@ def test_admission_fold(spark):
         df = spark.createDataFrame(cand, "id long, created_at long, kind string, workspace string")
         run = spark.createDataFrame(running, "kind string, workspace string")
         assert [r.id for r in admit(df, run, buckets, limits, 3, 10).collect()] == want
+
+
+def test_assessed_pages(spark):
+    from docloom.operators.repetition import assessed_pages, order_tables
+    from docloom.plans.registry import table
+
+    sf = "/root/testdata/sf0.001"
+    owner = {r.o_orderkey: r.o_custkey for r in table(spark, sf, "orders").collect()}
+    want = {}
+    for r in order_tables(spark, sf).collect():
+        rules, n = plain_rules(r.body), len(re.sub(r"\s", "", re.sub("<[^>]+>", "", r.body)))
+        kind = 0 if not rules else 2 if set(rules) <= {"R3", "R4"} else 1
+        page = want.setdefault(owner[r.l_orderkey], [0, 0, 0, False])
+        page[0] += n
+        page[3] |= kind > 0
+        if kind:
+            page[kind] += n
+    got = {r.o_custkey: [r.chars, r.chars_hard, r.chars_soft, r.degenerate] for r in assessed_pages(spark, sf).collect()}
+    assert got == want and any(p[2] for p in want.values())
