@@ -1,29 +1,140 @@
-"""Communities of a weighted graph by deterministic label moves, and their rendering."""
+"""Graphs: connected components, communities by modularity, and their rendering."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import zlib
+
+from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from docloom.functions.numbering import numbered
-from docloom.plans.checkpoints import ensure_folder
+from docloom.plans.checkpoints import kept
 from docloom.plans.registry import query, table
 
+#: A move or a level that adds no more than this to the modularity is none.
+LEAST_GAIN = 1e-7
+#: Two rounds running that add less than this share of what the level has gained end the level: the next one goes on faster.
+LEAST_SHARE = 1e-3
+#: How often the moves of a round are halved before only the best one is left.
+MOST_HALVES = 8
+
 
-def communities(edges: DataFrame, rounds: int = 100) -> DataFrame:
-    """edges (a, b, w) -> (v, c). In each round every vertex takes the label with the largest weight around it, the smaller one in ties, if it is smaller than its
-    own; labels only fall, so that they settle."""
-    ensure_folder(edges.sparkSession)
-    both = edges.select("a", "b", "w").union(edges.select("b", "a", "w")).checkpoint()
-    labels = both.select(F.col("a").alias("v")).distinct().withColumn("c", F.col("v")).checkpoint()
-    for _ in range(rounds):
-        near = both.join(labels, F.col("b") == F.col("v")).groupBy("a", "c").agg(F.sum("w").alias("w"))
-        best = near.groupBy("a").agg(F.max(F.struct(F.round("w", 6).alias("w"), (-F.col("c")).alias("c"))).alias("x")).select(F.col("a").alias("v"), (-F.col("x.c")).alias("new"))
-        moved = labels.join(best, "v").select("v", F.least("c", "new").alias("c"), (F.col("new") < F.col("c")).alias("moved")).checkpoint()
-        labels = moved.select("v", "c")
-        if not moved.filter("moved").limit(1).count():
+def connected(links: DataFrame) -> DataFrame:
+    """links (a, b) -> (v, c): the smallest vertex that can be reached from v. Vertices hang themselves below the smallest neighbour's label, and labels are
+    replaced by their own labels, so that a path of n vertices takes about log n rounds. Loops, repeated links and nulls are harmless."""
+    pairs = links.filter("a IS NOT NULL AND b IS NOT NULL").select("a", "b")
+    both = kept(pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    labels = kept(both.groupBy(F.col("a").alias("v")).agg(F.least(F.min("a"), F.min("b")).alias("c")))
+    while True:
+        around = both.join(labels.select(F.col("v").alias("b"), "c"), "b").groupBy(F.col("a").alias("v")).agg(F.min("c").alias("m"))
+        seen = labels.join(around, "v").select("v", "c", F.least("c", "m").alias("m"))
+        hung = seen.select("v", "m").union(seen.select(F.col("c").alias("v"), "m")).groupBy("v").agg(F.min("m").alias("m"))  # the old root hears of it as well
+        up = hung.select(F.col("v").alias("m"), F.col("m").alias("up"))
+        new = hung.join(up, "m", "left").select("v", F.coalesce("up", "m").alias("c"))
+        told = kept(new.join(labels.select("v", F.col("c").alias("old")), "v").select("v", "c", (F.col("c") < F.col("old")).alias("moved")))
+        labels = told.select("v", "c")
+        if not told.filter("moved").limit(1).count():
             return labels
-    raise RuntimeError(f"labels did not settle in {rounds} rounds")
+
+
+def coin(name: int | Column, turn: int):
+    """Heads or tails, the same in Python for an integer as in Spark for a column. The product is there since a checksum alone is linear: two names would agree in all turns."""
+    if isinstance(name, int):
+        return zlib.crc32(f"{turn}:{name}".encode()) * 40503 >> 20 & 1
+    return F.shiftright(F.crc32(F.concat(F.lit(f"{turn}:"), name.cast("string")).cast("binary")) * 40503, 20).bitwiseAND(F.lit(1))
+
+
+class Level:
+    """A weighted graph with a community for each vertex. edges (a, b, w): both directions, and a loop once with the weight of its two ends."""
+
+    def __init__(self, edges: DataFrame, resolution: float):
+        self.edges, self.resolution = kept(edges), resolution
+        self.labels = kept(self.edges.groupBy(F.col("a").alias("v")).agg(F.sum("w").alias("k")).withColumn("c", F.col("v")))
+        s = self.edges.agg(F.sum("w").alias("all"), F.sum(F.when(F.col("a") == F.col("b"), F.col("w"))).alias("loops")).first()
+        self.total, self.loops = s["all"] or 0.0, s["loops"] or 0.0
+
+    def look(self, labels: DataFrame) -> tuple[DataFrame, float, Row | None]:
+        """(v, c, d, gain) for the communities d around v, the modularity as it is, and the best move: gain is what v alone would add to it by moving to d."""
+        m, r = self.total, self.resolution
+        sums = labels.groupBy(F.col("c").alias("d")).agg(F.sum("k").alias("sum"))
+        near = self.edges.filter("a <> b").join(labels.select(F.col("v").alias("b"), F.col("c").alias("d")), "b").select(F.col("a").alias("v"), "d", "w")
+        near = near.union(labels.select("v", F.col("c").alias("d"), F.lit(0.0).alias("w")))  # every vertex has a row for its own community, be it without links
+        near = near.groupBy("v", "d").agg(F.sum("w").alias("w")).join(labels, "v").join(sums, "d")
+        stays = F.col("d") == F.col("c")
+        value = (F.col("w") - r * F.col("k") * (F.col("sum") - F.when(stays, F.col("k")).otherwise(0.0)) / m) * 2 / m
+        near = near.select("v", "c", "d", value.alias("value"), F.when(stays, F.col("w")).alias("inner"), F.when(stays, F.col("k") * F.col("sum")).alias("square"))
+        gain = F.col("value") - F.max(F.when(stays, F.col("value"))).over(W.partitionBy("v"))
+        near = kept(near.select("v", "c", "d", "inner", "square", F.when(~stays, F.round(gain, 12)).alias("gain")))
+        best = F.max(F.when(F.col("gain") > LEAST_GAIN / 1000, F.struct("gain", (-F.col("v")).alias("v"), (-F.col("d")).alias("d"), "c")))
+        s = near.agg(F.sum("inner").alias("inner"), F.sum("square").alias("square"), best.alias("best")).first()
+        return near.filter(F.col("gain") > LEAST_GAIN / 1000).select("v", "c", "d", "gain"), (s["inner"] + self.loops) / m - r * s["square"] / m**2, s["best"]
+
+    def settle(self) -> bool:
+        """Rounds of local moves. In a round about half of the communities send vertices and the others take them up, so that no two swap places. Moves are judged
+        one by one, and may do harm together: a round that does not raise the modularity is tried again with half of its moves, at last with the best one alone."""
+        gains, q, best = self.look(self.labels)
+        turn, share, any_moved, began, slow = 0, 0, False, q, 0
+        while best is not None:
+            to, chosen = -best["d"], F.col("v") == -best["v"]
+            while coin(best["c"], turn) or not coin(to, turn):  # the best move must be possible
+                turn += 1
+            alone = share > MOST_HALVES
+            fair = (coin(F.col("c"), turn) == 0) & (coin(F.col("d"), turn) == 1) & (F.lit(not alone) & (F.crc32(F.concat(F.lit(f"{turn}/"), F.col("v").cast("string")).cast("binary")) % (1 << min(share, MOST_HALVES)) == 0) | chosen)
+            movers = gains.filter(fair).groupBy("v").agg((-F.max(F.struct("gain", (-F.col("d")).alias("d")))["d"]).alias("to"))
+            new = kept(self.labels.join(movers, "v", "left").select("v", "k", F.coalesce("to", "c").alias("c")))
+            turn += 1
+            found = self.look(new)
+            if found[1] <= q:
+                if alone:  # rounding is all that is left
+                    return any_moved
+                share += 2
+                continue
+            rise = found[1] - q
+            slow = slow + 1 if rise < LEAST_SHARE * (found[1] - began) else 0
+            self.labels, (gains, q, best), share, any_moved = new, found, max(0, share - 2), True
+            if rise < LEAST_GAIN or slow == 2:
+                break
+        return any_moved
+
+    def contracted(self) -> DataFrame:
+        """Communities as vertices."""
+        c = self.labels.select("v", "c")
+        e = self.edges.join(c.select(F.col("v").alias("a"), F.col("c").alias("ca")), "a").join(c.select(F.col("v").alias("b"), F.col("c").alias("cb")), "b")
+        return e.groupBy(F.col("ca").alias("a"), F.col("cb").alias("b")).agg(F.sum("w").alias("w"))
+
+
+def both_ways(edges: DataFrame) -> DataFrame:
+    """Links in both directions; absent and zero weights count as 1, repeated links add up, links without an end are left out."""
+    e = edges.filter("a IS NOT NULL AND b IS NOT NULL").select("a", "b", F.when(F.coalesce("w", F.lit(0.0)) == 0, 1.0).otherwise(F.col("w")).cast("double").alias("w"))
+    return e.union(e.select("b", "a", "w")).groupBy("a", "b").agg(F.sum("w").alias("w"))
+
+
+def communities(edges: DataFrame, vertices: DataFrame | None = None, resolution: float = 1.0) -> DataFrame:
+    """edges (a, b, w), integer vertices -> (v, c): communities by modularity, named by their smallest vertex. Vertices move to the community around them that gains
+    most, then communities become vertices and move in their turn, until a level moves nothing. The modularity rises with every round that is accepted.
+    vertices (v): those without links are alone, and links to others are left out."""
+    if vertices is not None:
+        known = vertices.filter("v IS NOT NULL").select("v").distinct()
+        edges = edges.join(known.withColumnRenamed("v", "a"), "a", "left_semi").join(known.withColumnRenamed("v", "b"), "b", "left_semi")
+    level = Level(both_ways(edges), resolution)
+    out = level.labels.select("v", "c")
+    while level.total and level.settle():
+        out = kept(out.join(level.labels.select(F.col("v").alias("c"), F.col("c").alias("up")), "c").select("v", F.col("up").alias("c")))
+        level = Level(level.contracted(), resolution)
+    out = out.join(out.groupBy("c").agg(F.min("v").alias("first")), "c").select("v", F.col("first").alias("c"))
+    if vertices is not None:
+        out = known.join(out, "v", "left").select("v", F.coalesce("c", "v").alias("c"))
+    return out
+
+
+def modularity(edges: DataFrame, labels: DataFrame, resolution: float = 1.0) -> float:
+    """Of a division (v, c) of edges (a, b, w)."""
+    e = both_ways(edges)
+    e = e.join(labels.select(F.col("v").alias("a"), F.col("c").alias("ca")), "a").join(labels.select(F.col("v").alias("b"), F.col("c").alias("cb")), "b")
+    per = e.groupBy(F.col("ca").alias("c")).agg(F.sum("w").alias("k"), F.sum(F.when(F.col("ca") == F.col("cb"), F.col("w")).otherwise(0.0)).alias("inner"))
+    s = per.agg(F.sum("k").alias("m"), F.sum("inner").alias("inner"), F.sum(F.col("k") * F.col("k")).alias("square")).first()
+    return (s["inner"] / s["m"] - resolution * s["square"] / s["m"] ** 2) if s["m"] else 0.0
 
 
 def sizes(labels: DataFrame, least: int = 3) -> DataFrame:
@@ -32,19 +143,22 @@ def sizes(labels: DataFrame, least: int = 3) -> DataFrame:
     return numbered(s, F.desc("size"), F.col("first"), name="community").withColumn("community", F.col("community") - 1).filter(F.col("size") >= least)
 
 
+def supply_links(spark, sf_dir) -> DataFrame:
+    """Brands and the suppliers (as negative numbers) that ship parts of them, by the number of lines."""
+    brand = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), F.regexp_replace("p_brand", "[^0-9]", "").cast("long").alias("a"))
+    lines = table(spark, sf_dir, "lineitem").select("l_partkey", (-F.col("l_suppkey")).cast("long").alias("b"))
+    return lines.join(brand, "l_partkey").groupBy("a", "b").agg(F.count(F.lit(1)).cast("double").alias("w"))
+
+
 @query("o1_f5_communities")
 def graph_communities(spark, sf_dir):
-    """Suppliers that share parts of one brand."""
-    pairs = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("a"), (F.col("l_suppkey") * 7 % 100 + 1).alias("b"), F.lit(1.0).alias("w")).filter("a <> b")
-    edges = pairs.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.sum("w").alias("w"))
-    return sizes(communities(edges), 1).select("community", "size", "first")
+    """Communities of brands and suppliers, by size."""
+    return sizes(communities(supply_links(spark, sf_dir)), 1).select("community", "size", "first")
 
 
 @query("c7_o2_render", "WITH m AS (SELECT n_regionkey AS c, n_nationkey AS v, n_name FROM nation) SELECT c, string_agg(CAST(k AS VARCHAR) || ': ' || n_name, chr(10) ORDER BY k) AS body, (SELECT count(*) FROM m a JOIN m b ON a.c = b.c AND a.v < b.v WHERE a.c = x.c AND (a.v + b.v) % 3 = 0) AS inner_edges FROM (SELECT *, row_number() OVER (PARTITION BY c ORDER BY v) AS k FROM m) x GROUP BY c")
 def render(spark, sf_dir):
     """Members numbered within their community, and the edges that stay within it."""
-    from pyspark.sql import Window as W
-
     m = table(spark, sf_dir, "nation").select(F.col("n_regionkey").alias("c"), F.col("n_nationkey").alias("v"), "n_name")
     k = F.row_number().over(W.partitionBy("c").orderBy("v"))
     body = m.select("c", k.alias("k"), F.concat(k.cast("string"), F.lit(": "), "n_name").alias("t")).groupBy("c").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("k", "t"))), lambda x: x["t"]), "\n").alias("body"))

@@ -39,14 +39,6 @@ def test_flagship():
     assert FLAGSHIP in QUERIES and FLAGSHIP in ORACLE_SQL
 
 
-def test_communities_of_two_triangles(spark):
-    from docloom.operators.graph import communities
-
-    edges = [(1, 2, 1.0), (2, 3, 1.0), (1, 3, 1.0), (11, 12, 1.0), (12, 13, 1.0), (11, 13, 1.0), (3, 11, 0.1)]
-    got = {r.v: r.c for r in communities(spark.createDataFrame(edges, "a long, b long, w double")).collect()}
-    assert got[1] == got[2] == got[3] != got[11] == got[12] == got[13]
-
-
 def test_decode_ladder(spark):
     from pyspark.sql import functions as F
 
