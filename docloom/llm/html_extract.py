@@ -8,8 +8,9 @@ What an element declares itself to be (article, menu, advert ...) is a prior of
 Reader comments and widgets alone weigh more (NEVER): a comment is as fresh as the article, which no entropy can tell.
 
 Defined cases: null and empty pages give an empty text; pages may be of any length; the tree's say grows with the number of pages that have the node (none at
-one page, half at five), so on a host of one page the priors decide; null is a host of its own; repeated rows are pages of their own; an empty table gives an
-empty table; other columns pass through, whatever their names.
+one page, half at five), so on a host of one page the priors decide; null is a host of its own; repeated rows all get their text, and pages that are alike
+throughout count as few (`told_apart`), so that copies neither speak against an article nor for it; an empty table gives an empty table; other columns pass
+through, whatever their names.
 """
 
 from __future__ import annotations
@@ -169,20 +170,30 @@ def style_tree(pages: DataFrame, page: str = "html", host: str = "host") -> Data
     return node.filter("pages > 1").select("host", "path", "pages", (1 - F.col("same") / F.col("texts") / size).alias("content"), (1 - F.col("alike") / F.col("pages") / size).alias("shape"))
 
 
+def told_apart(tree: DataFrame) -> DataFrame:
+    """The style tree by what tells a host's pages apart. If every page stands there ten times, or all are one, nodes differ less than their number of pages allows;
+    a host's most diverse node says how many pages there really are (the exponential of its entropy): no node counts more, and entropies are held against that."""
+    of = F.coalesce(F.col("content"), F.lit(0.0)) * F.log("pages")
+    most = tree.groupBy(F.col("host").alias("of")).agg(F.max(of).alias("most"))
+    room = F.least(F.log("pages"), F.col("most"))
+    share = lambda c: F.when(F.col(c).isNotNull(), F.when(room > 1e-9, F.least(F.lit(1.0), F.col(c) * F.log("pages") / room)).otherwise(1.0)).alias(c)
+    return tree.join(most, F.col("host").eqNullSafe(F.col("of"))).select("host", "path", F.least(F.col("pages").cast("double"), F.exp("most")).alias("pages"), share("content"), share("shape"))
+
+
 def _inner(path: str) -> list[str]:
     """The path and those of the elements around it, without body and html."""
     steps = path.split(">")
     return [">".join(steps[:k]) for k in range(len(steps), 0, -1) if steps[k - 1].split(".")[0] not in ("", "html", "body")]
 
 
-def importance_of(path: str, tree: dict[int, tuple[int, float | None, float]]) -> tuple[float, float]:
+def importance_of(path: str, tree: dict[int, tuple[float, float | None, float]]) -> tuple[float, float]:
     """(importance, the tree's say from 0 to 1): the block's content, halved where no element around it differs in shape between pages."""
     pages, content, _ = tree.get(_key(path)) or (1, None, 0.0)
     shape = max((tree[k][2] for k in map(_key, _inner(path)) if k in tree), default=0.0)
     return (content or 0.0) * (1 + shape) / 2, (pages - 1) / (pages - 1 + HALF_SAY)
 
 
-def main_text(page: str, tree: dict[int, tuple[int, float | None, float]]) -> str:
+def main_text(page: str, tree: dict[int, tuple[float, float | None, float]]) -> str:
     """The blocks that importance and prior together speak for. tree: path's key -> (pages, content, shape)."""
     found = blocks(page)
     inside = any(role == GOOD for _, role, _ in found)
@@ -213,7 +224,7 @@ def extract(pages: DataFrame, page: str = "html", url: str = "url", broadcast_no
     """(row, main): each row's other columns as one struct, and its main text."""
     keep = [c for c in pages.columns if c != page]
     hosted = pages.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(page).cast("string").alias("html"), host_of(F.col(url)).alias("host"))
-    tree = stash(style_tree(hosted), "tree")
+    tree = stash(told_apart(stash(style_tree(hosted), "nodes")), "tree")
     by_host = tree.groupBy(F.col("host").alias("of")).agg(F.collect_list(F.struct("path", "pages", "content", "shape")).alias("tree"))
     if tree.count() <= broadcast_nodes:
         by_host = F.broadcast(by_host)

@@ -106,6 +106,26 @@ def test_long_and_repeated_pages(spark):
     assert got[1] == " ".join(["word & word"] * 60000) and got[2] == "x"
 
 
+def test_copies_of_a_page_do_not_speak_against_its_article(spark):
+    h = "<body><nav>menu</nav><article><p>The one story.</p></article><footer>foot</footer></body>"
+    for n in (1, 5, 14, 100):
+        assert run(spark, [(k, h) for k in range(n)]) == {k: "The one story." for k in range(n)}
+    # each of three pages many times, and one more that is different
+    story = lambda k: f"<body><nav>menu</nav><article><p>Story {k}.</p></article><p>Same line</p></body>"
+    rows = [(10 * j + k, story(k)) for k in range(3) for j in range(40)] + [(9999, story(77))]
+    assert run(spark, rows) == {i: f"Story {77 if i == 9999 else i % 10}." for i, _ in rows}
+    # copies do not change what a site's repeats are taken for
+    many = [(k, f"<body><div class='a'><p>story {k} {'word ' * k}</p></div><div class='z'>All the same</div></body>") for k in range(30)]
+    once = run(spark, many)
+    assert once == {k: " ".join(f"story {k} {'word ' * k}".split()) for k in range(30)}
+    assert run(spark, [(1000 * j + k, h) for k, h in many for j in range(12)]) == {1000 * j + k: t for k, t in once.items() for j in range(12)}
+
+
+def test_a_syndicated_article_stays(spark):
+    rows = [(k, f"<body><nav>menu</nav><article><p>{'Told by an agency.' if k % 3 == 0 else f'Own story {k}.'}</p></article><p class='d'>day {k}</p></body>") for k in range(60)]
+    assert all(("Told by an agency." if k % 3 == 0 else f"Own story {k}.") in t for k, t in run(spark, rows).items())
+
+
 def test_sample_pages(spark):
     """Against a plain reading of the article element."""
     df = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
