@@ -208,11 +208,36 @@ def candidates(entries: DataFrame, rows: DataFrame, which: str = "true") -> Data
     return both.withColumn("c", F.size(F.array_intersect("l1", "l"))).filter(_SHARED).select(F.col("doc").alias("a"), F.col("doc2").alias("b"), "n", "m")
 
 
+def _sets_of(docs: DataFrame) -> DataFrame:
+    return stash(docs.mapInArrow(_first_pass, _SETS), "sets")
+
+
+def clashing(sets: DataFrame) -> bool:
+    """Is there a doc_id on two rows, or a row without one?"""
+    return bool(sets.filter("slice IS NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("k")).filter("k > 1 OR doc_id IS NULL").limit(1).count())
+
+
+def numbered_classes(docs: DataFrame) -> DataFrame:
+    """docs with a unique `row` and `text` -> (row, n, c): set size and class (the smallest row of it)."""
+    by_row = docs.select(F.col("row").alias("doc_id"), "text")
+    return _classes(by_row, _sets_of(by_row)).select(F.col("doc_id").alias("row"), F.col("n_shingles").alias("n"), F.col("component_id").alias("c"))
+
+
 def jaccard_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row a document: doc_id, n_shingles, component_id."""
     small_batches(docs.sparkSession)
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    sets = stash(docs.mapInArrow(_first_pass, _SETS), "sets")
+    sets = _sets_of(docs)
+    if not clashing(sets):
+        return _classes(docs, sets)
+    rows = stash(docs.withColumn("row", F.monotonically_increasing_id()), "numbered")
+    found = stash(rows.select("row", "doc_id").join(numbered_classes(rows), "row"), "rows")
+    names = found.groupBy("c").agg(F.min("doc_id").alias("component_id"))
+    return found.join(names, "c").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def _classes(docs: DataFrame, sets: DataFrame) -> DataFrame:
+    """jaccard_classes of docs (doc_id, text) with a doc_id of its own on each row."""
     levels = token_levels(sets)
     sets = sets.filter("slice IS NULL").select("doc_id", "n", "s1", "s2")
 
@@ -221,7 +246,7 @@ def jaccard_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     copies = sets.filter("n > 0").join(firsts, ["s1", "s2"]).select(F.col("doc_id").alias("a"), "b")
 
     # index lists of two sets or more, with the hub to compare first
-    listed = docs.filter("doc_id IS NOT NULL").mapInArrow(_prefixes(levels), "token long, doc long, n int, pop int, pos int")
+    listed = docs.mapInArrow(_prefixes(levels), "token long, doc long, n int, pop int, pos int")
     lists = listed.groupBy("token").agg(F.count(F.lit(1)).alias("k"), F.max(F.struct("pop", (-F.col("doc")).alias("d"), "n")).alias("top")).filter("k > 1")
     rows = stash(listed.join(lists.select("token", (-F.col("top.d")).alias("pivot"), F.col("top.n").alias("m")), "token").select("token", "doc", "n", "pos", "pivot", "m"), "lists")
 
@@ -260,11 +285,23 @@ def jaccard_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
 
 
 def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """docs without those that link, directly or over others, with one of a smaller doc_id."""
-    gone = stash(jaccard_classes(docs, text, doc_id).filter("doc_id <> component_id").select(F.col("doc_id").alias("gone")), "gone")
+    """docs without those that link, directly or over others, with one of a smaller doc_id. Of rows with one doc_id any one stays, and rows without go first."""
+    small_batches(docs.sparkSession)
+    plain = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"), F.col(f"`{doc_id}`").cast("long").alias("id"))
+    sets = _sets_of(plain)
+    if clashing(sets):
+        whole = stash(whole.withColumn("row", F.monotonically_increasing_id()), "numbered")
+        rows = whole.select(F.col("whole")[text].cast("string").alias("text"), "row", "id")
+        found = stash(rows.select("row", "id").join(numbered_classes(rows), "row"), "rows")
+        stays = found.groupBy("c").agg(F.min_by("row", F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("row"))).alias("stays"))
+        gone = found.join(stays, "c").filter("row <> stays").select(F.col("row").alias("gone"))
+        whole = whole.drop("id").withColumnRenamed("row", "id")
+    else:
+        gone = _classes(plain, sets).filter("doc_id <> component_id").select(F.col("doc_id").alias("gone"))
+    gone = stash(gone, "gone")
     if gone.count() <= BROADCAST_IDS:
         gone = F.broadcast(gone)
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"), F.col(f"`{doc_id}`").cast("long").alias("id"))
     return whole.join(gone, F.col("id") == F.col("gone"), "left_anti").select("whole.*")
 
 

@@ -94,3 +94,28 @@ def test_chains_repeated_rows_and_clashing_columns(spark):
     kept = one_of_each(df)
     assert kept.columns == df.columns and {(r.whole, r.gone, r.id) for r in kept.collect()} == {("x", 1, 2)}
     assert {r.doc_id for r in kept.collect()} == {c for _, _, c in brute(docs)}
+
+
+def test_rows_of_one_id_and_without_one(spark):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(30)) for x in "abc")
+    docs = [(3, a), (5, a), (5, b), (None, a), (None, a), (7, c), (7, c), (None, "lone words"), (8, None), (8, ""), (None, None)]
+    df = spark.createDataFrame([(*d, 4) for d in docs], "doc_id long, text string, row int").repartition(3)
+    key = lambda x: tuple(-1 if v is None else v for v in x)
+    got = sorted((key((r.doc_id, r.n_shingles, r.component_id)) for r in jaccard_classes(df).collect()))
+    assert got == sorted(key(x) for x in [(3, 26, 3), (5, 26, 3), (5, 26, 5), (None, 26, 3), (None, 26, 3), (7, 26, 7), (7, 26, 7), (None, 1, None), (8, 0, 8), (8, 0, 8), (None, 0, None)])
+    kept = one_of_each(df)
+    assert kept.columns == df.columns
+    assert sorted(key((r.doc_id, r.text or "")) for r in kept.collect()) == sorted(key(x) for x in [(3, a), (5, b), (7, c), (None, "lone words"), (8, ""), (8, ""), (None, "")])
+
+
+def test_repeated_ids_against_brute_force(spark):
+    docs = [(i % 40 if i % 7 else None, t) for i, t in corpus(3)]
+    rows = list(enumerate(docs))
+    want = {r: (n, c) for r, n, c in brute([(r, t) for r, (_, t) in rows])}
+    least = {}
+    for r, (i, _) in rows:
+        c = want[r][1]
+        least[c] = min((x for x in (least.get(c), i) if x is not None), default=None)
+    key = lambda *x: tuple(-1 if v is None else v for v in x)
+    got = sorted(key(r.doc_id, r.n_shingles, r.component_id) for r in jaccard_classes(spark.createDataFrame(docs, "doc_id long, text string")).collect())
+    assert got == sorted(key(i, want[r][0], least[want[r][1]]) for r, (i, _) in rows)
