@@ -1,4 +1,4 @@
-"""Retrieval: hashed vectors, cosine and sparse scores, hybrid top-k, keyword-overlap ranking, routing of questions."""
+"""Retrieval: hashed vectors, nearest vectors, sparse scores, keyword-overlap ranking, routing of questions. Hybrid search has its own module."""
 
 from __future__ import annotations
 
@@ -7,38 +7,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
+from docloom.operators import hybrid
+from docloom.plans.checkpoints import kept
 from docloom.plans.registry import query, table
 
-DENSE, SPARSE = 0.35, 0.65
-
-
-def dot(a: Column, b: Column) -> Column:
-    """Over the common prefix of two arrays."""
-    return F.aggregate(F.zip_with(a, b, lambda x, y: F.coalesce(x.cast("double") * y.cast("double"), F.lit(0.0))), F.lit(0.0), lambda s, x: s + x)
-
-
-def cosine(a: Column, b: Column) -> Column:
-    """0 where a vector has no length."""
-    n = F.sqrt(dot(a, a)) * F.sqrt(dot(b, b))
-    return F.when(n == 0, 0.0).otherwise(dot(a, b) / n)
-
 
 _COS = "(list_inner_product(q.e, v.e) / (sqrt(list_inner_product(q.e, q.e)) * sqrt(list_inner_product(v.e, v.e))))"
 
 
 @query("n5_f4_nearest", f"WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings), s AS (SELECT q.vec_id AS q, v.vec_id AS vec_id, round({_COS}, 6) AS score FROM v q, v WHERE q.vec_id % 100 = 0 AND q.vec_id <> v.vec_id) SELECT q, vec_id, score FROM s QUALIFY row_number() OVER (PARTITION BY q ORDER BY score DESC, vec_id) <= 5")
 def nearest(spark, sf_dir, k=5, every=100):
-    """The k nearest vectors of each query vector. The queries are a stated set and go to all rows; each task keeps its own k best of a query before the shuffle."""
-    v = table(spark, sf_dir, "embeddings").select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("e"))
-    q = v.filter(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("q"), F.col("e").alias("qe"))
-    s = v.join(q, F.col("q") != F.col("vec_id")).select("q", "vec_id", F.round(cosine(F.col("qe"), F.col("e")), 6).alias("score"))
-    from pyspark.sql import Window as W
-
-    return s.withColumn("r", F.row_number().over(W.partitionBy("q").orderBy(F.desc("score"), "vec_id"))).filter(F.col("r") <= k).drop("r")
+    """The k nearest vectors of each query vector, by the cells of an index: those that the bound of their cell rules out are not scored."""
+    v = kept(table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("dense"), F.lit(None).cast("string").alias("text")))
+    found = hybrid.search(hybrid.build(v), v.filter(F.col("id") % every == 0), k, dense=1.0, sparse=0.0, others_only=True)
+    return found.select("q", F.col("id").alias("vec_id"), "score")
 
 
 def hashed_vectors(size: int = 64):
@@ -91,11 +77,6 @@ def sparse_search(spark, sf_dir, k=10):
     return s.withColumn("r", F.row_number().over(W.partitionBy("item_id").orderBy(F.desc("score"), "conv_id"))).filter(F.col("r") <= k).drop("r")
 
 
-def hybrid(scores: DataFrame, dense: float = DENSE, sparse: float = SPARSE) -> DataFrame:
-    """scores with dense and sparse columns, either may be null -> score."""
-    return scores.withColumn("score", dense * F.coalesce("dense", F.lit(0.0)) + sparse * F.coalesce("sparse", F.lit(0.0)))
-
-
 @query("f2_c15_rank_reports", "WITH r AS (SELECT doc_id, lower(text) AS hay, n_chars FROM documents), q AS (SELECT DISTINCT term FROM (SELECT unnest(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+')) AS term FROM benchmark WHERE item_id = 3) WHERE length(term) >= 4) SELECT doc_id, (SELECT count(*) FROM q WHERE contains(r.hay, q.term)) AS overlap FROM r ORDER BY overlap DESC, n_chars DESC, doc_id LIMIT 20")
 def rank_reports(spark, sf_dir, item=3, k=20):
     """Reports by how many of the question's terms they hold, then by rank. The terms of one question are an array, so each report is looked at once."""
