@@ -23,6 +23,8 @@ GAP_ROWS, GAP_COLS = 1, 1
 TITLE_ROWS, TITLE_GAP, TITLE_SHARE = 2, 2, 0.6
 #: When a sheet's main region lets remnants be told (borders, cells), how far away they lie, and what is kept all the same (cells, density, columns).
 MAIN_BORDERS, MAIN_CELLS, AWAY_ROWS, AWAY_COLS, KEEP_CELLS, KEEP_DENSITY, KEEP_COLS = 0.3, 20, 2, 2, 12, 0.35, 2
+#: Boxes of about so many go to one call of Python, whole clusters.
+TOGETHER = 4096
 #: Bands in which boxes look for each other.
 BAND_ROWS, BAND_COLS = 64, 16
 
@@ -113,9 +115,12 @@ _COLUMNS = ["r0", "r1", "c0", "c1", "cells", "bordered"]
 
 
 def _merge(group: pd.DataFrame) -> pd.DataFrame:
-    out = pd.DataFrame(merged_in_order(group[_COLUMNS].to_numpy().tolist()), columns=_COLUMNS)
-    out.insert(0, "sheet", group["sheet"].iloc[0])
-    return out
+    sheets, out = [], []
+    for _, own in group.groupby("cluster", sort=False):
+        made = merged_in_order(own[_COLUMNS].to_numpy().tolist())
+        sheets += [own["sheet"].iloc[0]] * len(made)
+        out += made
+    return pd.DataFrame(out, columns=_COLUMNS).assign(sheet=sheets)[["sheet", *_COLUMNS]]
 
 
 def merged(boxes: DataFrame) -> DataFrame:
@@ -124,7 +129,8 @@ def merged(boxes: DataFrame) -> DataFrame:
     near = kept(clusters(one, TITLE_GAP + 1))
     alone = near.groupBy("cluster").agg(F.count(F.lit(1)).alias("k")).filter("k = 1").select("cluster")
     schema = ", ".join(f"{c} {near.schema[c].dataType.simpleString()}" for c in ("sheet", *_COLUMNS))
-    folded = near.join(alone, "cluster", "left_anti").groupBy("cluster").applyInPandas(_merge, schema)
+    more = kept(near.join(alone, "cluster", "left_anti"))
+    folded = more.groupBy(F.pmod(F.xxhash64("cluster"), F.lit(more.count() // TOGETHER + 1))).applyInPandas(_merge, schema)
     return near.join(alone, "cluster", "left_semi").select("sheet", *_COLUMNS).union(folded)
 
 
