@@ -177,3 +177,13 @@ def attempt_trails(spark, sf_dir):
     i = F.col("event_id")
     step = F.concat("event_type", F.lit(":"), (i % 3).cast("string"), F.when(i % 4 == 0, F.concat(F.lit("("), (i % 5).cast("string"), F.lit(")"))).otherwise(""))
     return table(spark, sf_dir, "events").groupBy("user_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("event_id", step.alias("s")))), lambda x: x["s"]), " → ").alias("trail"))
+
+
+@query("i26_json_objects", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
+def json_objects(spark, sf_dir):
+    """Properties of events as answers give them, between prose or in a fence, with a note that has braces of its own."""
+    from docloom.functions.json_text import json_object
+
+    note = F.when(F.col("event_type") == "error", F.concat(F.lit("Here:\n```json\n"), "props", F.lit("\n```\nNo {more}."))).otherwise(F.concat(F.lit("It is "), "props", F.lit(", see {there}.")))
+    found = table(spark, sf_dir, "events").select("event_id", json_object()(note).alias("found"))
+    return found.select("event_id", F.get_json_object("found", "$.k").cast("bigint").alias("k"))
