@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from docloom.operators.graph import connected
+from docloom.operators import graph
 from docloom.plans.checkpoints import kept
 from docloom.plans.registry import query, table
 
@@ -58,7 +58,7 @@ def run_links(runs: DataFrame, gap_rows: int = GAP_ROWS, gap_cols: int = GAP_COL
 def components(cells: DataFrame, gap_rows: int = GAP_ROWS, gap_cols: int = GAP_COLS) -> DataFrame:
     """(id, sheet, r0, r1, c0, c1, cells, bordered): the box of each group of cells that reach one another over small gaps."""
     r = runs(cells, gap_cols)
-    c = connected(run_links(r, gap_rows, gap_cols))
+    c = graph.connected(run_links(r, gap_rows, gap_cols))
     r = r.join(c, F.col("id") == F.col("v"), "left").select("sheet", F.coalesce("c", "id").alias("id"), F.col("row").alias("r0"), F.col("row").alias("r1"), "c0", "c1", "cells", "bordered")
     return r.groupBy("sheet", "id").agg(*box())
 
@@ -77,7 +77,7 @@ def clusters(boxes: DataFrame, slack: int = 0) -> DataFrame:
         links = kept(met.select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct())
         if not links.limit(1).count():
             return out
-        c = connected(links)
+        c = graph.connected(links)
         out = kept(out.join(c, F.col("cluster") == F.col("v"), "left").withColumn("cluster", F.coalesce("c", "cluster")).drop("v", "c"))
         around = kept(out.groupBy("sheet", F.col("cluster").alias("id")).agg(*box()))
 
