@@ -28,7 +28,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def load() -> None:
-    from docloom.operators import admission, alignment, blocks, graph, hierarchy, hybrid, jobs, markdown, pages, relational, repetition, regions, retrieval, sheets, state, text, windows  # noqa: F401
+    from docloom.operators import admission, alignment, blocks, graph, hierarchy, hybrid, jobs, markdown, modal, pages, relational, repetition, regions, retrieval, sheets, state, text, windows  # noqa: F401
 
 
 load()
