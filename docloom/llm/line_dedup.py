@@ -1,8 +1,8 @@
 """Line dedup by site-relative frequency.
 
 For each host, the number of its pages that hold a line is divided by the number of its pages; a line beyond the ratio is boilerplate of that host
-and goes from each of its pages. Lines are parts of the text between \\n, compared exactly. The page at hand is left out of both numbers, so that the ratio
-speaks of the host's other pages: a line on one page only is never boilerplate, however small the host.
+and goes from each of its pages. Lines are parts of the text between \\n, compared exactly. A line on one page only is never boilerplate, however small
+the host.
 
 Defined cases: a null text stays null and counts as a page without lines; an empty text has no line; lines of white space only are never counted
 or dropped; null is a host of its own; repeated rows are pages of their own; texts may be of any length; an empty table gives an empty table; other columns
@@ -31,7 +31,7 @@ def boilerplate(pages: DataFrame, text: str = "text", host: str = "source", rati
     totals = p.groupBy(F.col("host").alias("of")).agg(F.count(F.lit(1)).alias("pages"))
     keys = F.transform(F.filter(_lines(F.col("text")), lambda x: F.length(F.translate(x, " \t\r\x0b\x0c", "")) > 0), lambda x: F.xxhash64(x))
     counts = p.select("host", F.explode(F.array_distinct(keys)).alias("key")).groupBy("host", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    return counts.join(totals, F.col("host").eqNullSafe(F.col("of"))).filter(F.col("n") - 1 > (F.col("pages") - 1) * F.lit(ratio)).select("host", "key")
+    return counts.join(totals, F.col("host").eqNullSafe(F.col("of"))).filter(F.col("n") > F.col("pages") * F.lit(ratio)).select("host", "key")
 
 
 def drop_lines(pages: DataFrame, text: str = "text", host: str = "source", ratio: float = RATIO, broadcast_lines: int = BROADCAST_LINES) -> DataFrame:
@@ -72,7 +72,7 @@ WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, source, text F
 l AS (SELECT r, source, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS k FROM d WHERE text IS NOT NULL),
 totals AS (SELECT source, count(*) AS pages FROM d GROUP BY source),
 bad AS (SELECT c.source, c.line FROM (SELECT source, line, count(DISTINCT r) AS n FROM l WHERE length(translate(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13), '')) > 0 GROUP BY source, line) c
-  JOIN totals t ON c.source IS NOT DISTINCT FROM t.source WHERE c.n - 1 > (t.pages - 1) * {RATIO}::DOUBLE),
+  JOIN totals t ON c.source IS NOT DISTINCT FROM t.source WHERE c.n > 1 AND c.n > t.pages * {RATIO}::DOUBLE),
 cut AS (SELECT l.r, count(*) AS n, count(bad.line) AS gone, string_agg(l.line, chr(10) ORDER BY l.k) FILTER (WHERE bad.line IS NULL) AS kept
   FROM l LEFT JOIN bad ON l.line = bad.line AND l.source IS NOT DISTINCT FROM bad.source GROUP BY l.r)
 SELECT d.doc_id, d.source, (CASE WHEN d.text IS NULL OR d.text = '' THEN 0 ELSE cut.n END)::BIGINT AS n_lines, coalesce(cut.gone, 0)::BIGINT AS n_dropped,
