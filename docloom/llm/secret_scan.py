@@ -163,21 +163,31 @@ def candidates(texts: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
 
 
 def _spans(rule: Rule, k: int) -> Column:
-    """Array of (start, k, end): the text is split at the matches, so places are sums of the lengths of gaps and matches."""
+    """Array of (start, k, end): the text is split at the matches, so places are sums of the lengths of gaps and matches. The sums run within blocks of matches and
+    then over the blocks, since an array that grows by one copies what it holds."""
     p = F.lit(rule.pattern)
-    found = F.transform(
-        F.array(F.struct(F.regexp_extract_all("text", p, F.lit(0)).alias("m"), F.regexp_extract_all("text", p, F.lit(rule.group)).alias("v"), F.split("text", rule.pattern, -1).alias("g"))),
-        lambda x: F.aggregate(
-            F.arrays_zip(x["m"].alias("m"), x["v"].alias("v"), F.slice(x["g"], 1, F.greatest(F.size(x["m"]), F.lit(0))).alias("g")),
-            F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<s:int,k:int,e:int>>").alias("out")),
-            lambda acc, y: F.struct(
-                (acc["at"] + F.length(y["g"]) + F.length(y["m"])).alias("at"),
-                F.when(_where(rule, y), F.concat(acc["out"], F.array(F.struct((acc["at"] + F.length(y["g"])).alias("s"), F.lit(k).alias("k"), (acc["at"] + F.length(y["g"]) + F.length(y["m"])).alias("e"))))).otherwise(acc["out"]).alias("out"),
-            ),
-            lambda acc: acc["out"],
-        ),
-    )[0]
-    return found
+    found = F.struct(F.regexp_extract_all("text", p, F.lit(0)).alias("m"), F.regexp_extract_all("text", p, F.lit(rule.group)).alias("v"), F.split("text", rule.pattern, -1).alias("g"))
+    pairs = lambda x: F.arrays_zip(x["m"].alias("m"), x["v"].alias("v"), F.slice(x["g"], 1, F.size(x["m"])).alias("g"))
+    none = F.array().cast(_NONE)
+
+    def step(acc, y):
+        start = acc["at"] + F.length(y["g"])
+        end = start + F.length(y["m"])
+        return F.struct(end.alias("at"), F.when(_where(rule, y), F.concat(acc["out"], F.array(F.struct(start.alias("s"), F.lit(k).alias("k"), end.alias("e"))))).otherwise(acc["out"]).alias("out"))
+
+    def within(part):
+        return F.aggregate(part, F.struct(F.lit(0).alias("at"), none.alias("out")), step)
+
+    def over(acc, part):
+        shifted = F.transform(part["out"], lambda z: F.struct((acc["at"] + z["s"]).alias("s"), z["k"].alias("k"), (acc["at"] + z["e"]).alias("e")))
+        return F.struct((acc["at"] + part["at"]).alias("at"), F.concat(acc["out"], F.array(shifted)).alias("out"))
+
+    def summed(y):
+        parts = F.transform(F.sequence(F.lit(0), F.floor((F.size(y) - 1) / MATCHES).cast("int")), lambda b: within(F.slice(y, b * MATCHES + 1, MATCHES)))
+        return F.flatten(F.aggregate(parts, F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_NONE}>").alias("out")), over, lambda acc: acc["out"]))
+
+    # one-element arrays bind what is used more than once
+    return F.transform(F.transform(F.array(found), pairs), lambda y: F.when(F.size(y) > 0, summed(y)).otherwise(none))[0]
 
 
 def _where(rule: Rule, y: Column) -> Column:
@@ -191,6 +201,8 @@ def _where(rule: Rule, y: Column) -> Column:
 #: For a scan of every text a rule may be searched by a narrower expression with the same accepted matches: a run of 24 or more is a run.
 _NARROW = {"hex": r"[0-9a-f]{24,}+"}
 _NONE = "array<struct<s:int,k:int,e:int>>"
+#: Matches of a block.
+MATCHES = 512
 
 
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", broadcast_candidates: int = BROADCAST_CANDIDATES) -> DataFrame:

@@ -52,3 +52,10 @@ def test_queries_demand_what_matches_hold():
         for _, t in corpus():
             for m in re.finditer(r.pattern, t or ""):
                 assert holds(query, m[0].lower())
+
+
+def test_very_many_matches(spark):
+    """Every length of a block of matches, and 200,000 matches in one text."""
+    docs = [(k, f"token=abcdef{k} é " * n) for k, n in enumerate([1, 511, 512, 513, 1024, 1025, 3000, 200000])]
+    for r in s.scan(spark.createDataFrame(docs, "doc_id long, text string")).collect():
+        assert [(x.s, x.k, x.e) for x in r.spans if x.k < 3] == [(m.start(), 0, m.end()) for m in re.finditer(BASE[0][1], docs[r.row.doc_id][1])]
