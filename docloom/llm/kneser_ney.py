@@ -213,7 +213,7 @@ def _merge_pairs(bits: int, path: str):
         own = tb.mix(u * np.uint64(3) ^ w)
         order = np.argsort(own, kind="stable")
         save(f"{path}/pair-{r}", own[order])
-        save(f"{path}/pair-count-{r}", np.minimum(c[order], 0xFFFFFFFF).astype(np.uint32))
+        save(f"{path}/pair-count-{r}", c[order].astype(np.uint64))
         at = np.flatnonzero(np.concatenate([[True], u[1:] != u[:-1]]))
         save(f"{path}/context-{r}", u[at])
         save(f"{path}/context-sums-{r}", np.stack([np.add.reduceat(c, at), *(np.add.reduceat(((c == k) if k < 3 else (c >= 3)).astype(np.int64), at) for k in (1, 2, 3))], axis=1))
@@ -306,7 +306,7 @@ class Scorer:
             sums = mapped(f"{self.m['path']}/context-sums-{r}", np.int64).reshape(-1, 4)[at].astype(np.float64)
             own = (sums[:, 1:] @ d[1:]) / sums[:, 0] * lower[part]
             at, there = _find(mapped(f"{self.m['path']}/pair-{r}", np.uint64), tb.mix(u[part] * np.uint64(3) ^ w[part]))
-            c = np.where(there, mapped(f"{self.m['path']}/pair-count-{r}", np.uint32)[at], 0).astype(np.int64)
+            c = np.where(there, mapped(f"{self.m['path']}/pair-count-{r}", np.uint64)[at], 0).astype(np.int64)
             p[part] = own + np.where(there, (c - d[np.minimum(c, 3)]) / sums[:, 0], 0.0)
         return p
 
