@@ -18,6 +18,8 @@ def shared_dir(spark: SparkSession) -> str:
         return at
     sc = spark.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="docloom-"))
     return sc._jsc.sc().getCheckpointDir().get()
 
