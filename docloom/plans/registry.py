@@ -28,7 +28,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def load() -> None:
-    from docloom.operators import admission, alignment, bands, blocks, graph, grids, hierarchy, hybrid, jobs, markdown, modal, pages, prefix_tree, relational, repetition, regions, retrieval, sheets, state, text, windows  # noqa: F401
+    from docloom.operators import admission, alignment, bands, blocks, graph, grids, hierarchy, hybrid, jobs, markdown, modal, page_tables, pages, prefix_tree, relational, repetition, regions, retrieval, sheets, state, text, windows  # noqa: F401
 
 
 load()
