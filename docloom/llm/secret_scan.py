@@ -1,9 +1,9 @@
 """Secret scans over a trigram inverted index, in DataFrame functions only.
 
 From each rule's regular expression a Boolean query over trigrams is derived: what every match must contain, of each literal the two trigrams with the
-rarest letters. The index has, for each trigram that some query names, the texts whose lower-cased form holds it, by the text's hash: equal texts have one
-posting, a null id is no obstacle, and a hash shared by chance only adds a candidate. Postings are intersected and united as each query says, and only the
-candidates are searched with the rule's expression. A rule without mandatory trigrams (runs of hexadecimal digits) scans every text.
+rarest letters. The index is a written table of postings: for each trigram that some query names, the texts whose lower-cased form holds it, by the text's hash.
+Equal texts have one posting, a null id is no obstacle, and a hash shared by chance only adds a candidate. Posting lists are intersected and united as each query
+says, by merges over their keys, and only the candidates are searched with the rule's expression. A rule without mandatory trigrams (runs of hexadecimal digits) scans every text.
 
 Defined cases: null and empty texts have no spans; texts may be of any length; repeated rows (of one id or of a null id, too) are each searched; an empty
 table gives an empty table; other columns pass through, whatever their names; matches are leftmost and do not overlap within one rule; ties in start are
@@ -130,36 +130,53 @@ def trigrams(query: object) -> set[str]:
     return set() if query is True else {query} if isinstance(query, str) else set().union(*(trigrams(x) for x in query[1]))
 
 
-WORD = 62
+def _tree(queries: dict[int, object]) -> tuple[list[str], list[tuple[int, int, int, int]], list[tuple[int, int]]]:
+    """The queries as one graph of nodes: (trigrams, nodes 0 and on; edges (height of the parent, child, parent, how many of its children the parent needs);
+    (root, rule)). Parts that several queries share are one node."""
+    names = sorted(set().union(*(trigrams(q) for q in queries.values())))
+    node: dict[object, int] = {t: k for k, t in enumerate(names)}
+    height: dict[object, int] = dict.fromkeys(names, 0)
+    edges: list[tuple[int, int, int, int]] = []
 
+    def add(q) -> int:
+        if q not in node:
+            parts = [add(x) for x in q[1]]
+            node[q], height[q] = len(node), 1 + max(height[x] for x in q[1])
+            edges.extend((height[q], k, node[q], len(parts) if q[0] == "and" else 1) for k in parts)
+        return node[q]
 
-def _test(query: object, bit: dict[str, int]) -> Column:
-    if isinstance(query, str):
-        return F.col(f"have{bit[query] // WORD}").bitwiseAND(F.lit(1 << bit[query] % WORD)) != 0
-    tests = [_test(x, bit) for x in sorted(query[1], key=str)]
-    out = tests[0]
-    for t in tests[1:]:
-        out = (out & t) if query[0] == "and" else (out | t)
-    return out
+    return names, edges, [(add(q), k) for k, q in queries.items()]
 
 
 def postings(texts: DataFrame, names: list[str]) -> DataFrame:
-    """The index: (key, trigram: its place in names) for each text (key, text) that holds it."""
+    """The index: (node, key), one for each of the trigrams (by its place in names) and each text (key, text) that holds it; equal texts have one posting."""
     low = texts.select("key", F.lower("text").alias("low"))
     held = low.select("key", F.filter(F.array(*[F.when(F.contains("low", F.lit(t)), F.lit(k)) for k, t in enumerate(names)]), lambda x: x.isNotNull()).alias("held"))
-    return held.filter(F.size("held") > 0).select("key", F.explode("held").alias("trigram"))
+    return held.filter(F.size("held") > 0).select(F.explode("held").alias("node"), "key").distinct()
+
+
+def _values(spark, rows: list[tuple[int, ...]], names: str) -> DataFrame:
+    """A table of the rules' making, so no larger than they are."""
+    return F.broadcast(spark.sql(f"SELECT * FROM VALUES {', '.join(str(r) for r in rows)} AS t({names})"))
 
 
 def candidates(texts: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
-    """(of, rules): the keys of texts (key, text), and which rules' queries hold. Postings of a text are put together as bits, so that a query is a few bit operations."""
+    """(of, rules): the keys of texts (key, text), and which rules' queries hold.
+
+    The posting lists of a query's parts are merged by key, the inner parts first: where all are demanded a key must stand in every list, else in one. All
+    queries are answered by the same merges, one for each level, so the jobs do not grow with the rules."""
+    spark = texts.sparkSession
     asked = {k: q for k, r in enumerate(rules) if (q := trigram_query(r.pattern)) is not True}
-    names = sorted(set().union(*(trigrams(q) for q in asked.values())))
-    bit = {t: k for k, t in enumerate(names)}
-    here = lambda w: F.expr(f"if(trigram div {WORD} = {w}, shiftleft(1L, trigram % {WORD}), 0L)")
-    index = postings(texts, names) if names else texts.select("key", F.lit(0).alias("trigram")).limit(0)
-    have = index.groupBy("key").agg(*[F.bit_or(here(w)).alias(f"have{w}") for w in range(len(names) // WORD + 1)])
-    found = [F.when(_test(q, bit), F.lit(k)) for k, q in asked.items()]
-    return have.select(F.col("key").alias("of"), F.filter(F.array(*found) if found else F.array(F.lit(None).cast("int")), lambda x: x.isNotNull()).alias("rules")).filter(F.size("rules") > 0)
+    if not asked:
+        return texts.select(F.col("key").alias("of"), F.array().cast("array<int>").alias("rules")).limit(0)
+    names, edges, roots = _tree(asked)
+    held = stash(postings(texts, names), "postings")
+    for level in sorted({e[0] for e in edges}):
+        met = held.join(_values(spark, [e[1:] for e in edges if e[0] == level], "child, parent, need"), F.col("node") == F.col("child"))
+        met = met.groupBy("parent", "need", "key").agg(F.count(F.lit(1)).alias("n")).filter("n >= need")
+        held = held.union(met.select(F.col("parent").alias("node"), "key"))
+    found = held.join(_values(spark, roots, "root, rule"), F.col("node") == F.col("root"))
+    return found.groupBy(F.col("key").alias("of")).agg(F.sort_array(F.collect_set("rule")).alias("rules"))
 
 
 def _spans(rule: Rule, k: int) -> Column:

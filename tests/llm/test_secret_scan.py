@@ -59,3 +59,19 @@ def test_very_many_matches(spark):
     docs = [(k, f"token=abcdef{k} é " * n) for k, n in enumerate([1, 511, 512, 513, 1024, 1025, 3000, 200000])]
     for r in s.scan(spark.createDataFrame(docs, "doc_id long, text string")).collect():
         assert [(x.s, x.k, x.e) for x in r.spans if x.k < 3] == [(m.start(), 0, m.end()) for m in re.finditer(BASE[0][1], docs[r.row.doc_id][1])]
+
+
+def test_candidates_are_what_the_queries_say(spark):
+    """Against the queries evaluated text by text, with shared parts and a query of one trigram only."""
+    def holds(q, low):
+        return q if q is True else q in low if isinstance(q, str) else (all if q[0] == "and" else any)(holds(x, low) for x in q[1])
+
+    rules = (*s.RULES, s.Rule("deep", "(abc[0-9]+def|(ghij|klmn)[0-9]+opq)[a-z]*xyz"), s.Rule("same", "AKIA[0-9]+"))
+    rnd = random.Random(4)
+    parts = ["abc", "def", "ghij", "klmn", "opq", "xyz", "akia", "token", "passwd", "pas", "swd", "7", " ", "--begin", "private key"]
+    texts = ["".join(rnd.choices(parts, k=rnd.randint(0, 12))) for _ in range(400)]
+    df = spark.createDataFrame([(k % 350, texts[k % 350]) for k in range(400)], "key long, text string").repartition(4)
+    want = {k: w for k, t in enumerate(texts[:350]) if (w := [n for n, r in enumerate(rules) if (q := s.trigram_query(r.pattern)) is not True and holds(q, t)])}
+    got = s.candidates(df, rules).collect()
+    assert len(got) == len(want) > 100 and {r.of: list(r.rules) for r in got} == want
+    assert any(8 in w for w in want.values()) and s.candidates(df, (s.RULES[2],)).collect() == []
