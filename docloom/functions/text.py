@@ -90,10 +90,10 @@ def sentence_ends(c: Column) -> Column:
 
 
 def head_to_sentence(c: Column, budget: int) -> Column:
-    """The whole sentences that fit into the budget; a text within it stays as it is."""
+    """The whole sentences that fit into the budget, without white space after the last; a text within it stays as it is."""
     # longer prefixes than the budget can't count, so only the start is searched; two characters more show whether the last stop ends a sentence
     best = F.array_max(F.filter(sentence_ends(F.substring(c, 1, budget + 2)), lambda e: e <= budget))
-    return F.when(F.length(c) <= budget, c).when(best.isNull(), "").otherwise(F.rtrim(F.substring(c, F.lit(1), best)))
+    return F.when(F.length(c) <= budget, c).when(best.isNull(), "").otherwise(F.regexp_replace(F.substring(c, F.lit(1), best), r"(?U)\s+$", ""))
 
 
 def tail_from_sentence(c: Column, budget: int, over: int = 200) -> Column:

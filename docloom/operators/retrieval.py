@@ -85,7 +85,8 @@ def rank_reports(spark, sf_dir, item=3, k=20):
     return r.select("doc_id", "n_chars", F.size(F.filter("terms", lambda t: F.contains(F.col("hay"), t))).cast("long").alias("overlap")).orderBy(F.desc("overlap"), F.desc("n_chars"), "doc_id").limit(k).select("doc_id", "overlap")
 
 
-CUES = ("overall", "summary", "main", "trend", "the of", "compare")
+# fixed values: words that ask for the whole
+CUES = ("요약", "전체", "종류", "핵심", "개요", "무엇을 다루", "주제", "전반", "통틀어", "정리해", "한눈에", "summary", "summarize", "overview", "overall", "main topic", "key topics")
 
 
 @query("o6_route_questions", "SELECT conv_id, turn, CASE WHEN " + " OR ".join(f"contains(lower(text), '{c}')" for c in CUES) + " THEN 'global' ELSE 'local' END AS route FROM conversations WHERE role = 'user'")
