@@ -9,67 +9,99 @@ Cells without row or place in the row are left out, repeated cells count once (t
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from docloom.functions import text as T
+from docloom.plans.checkpoints import kept
 from docloom.plans.registry import query, table
 
 #: Pieces of a sheet that are filled together.
 PIECES = 512
+#: Columns of a row that are dealt together.
+STRIP = 1024
 #: Fixed value: the share of a second header row's cells that are one column wide.
 SINGLE = 0.7
 
 
-def free_columns(cells: list[tuple[int, int, int]]) -> list[int]:
-    """The column of each cell (row, cs, rs), given in the order in which they are written."""
-    out: list[int] = []
-    above: list[tuple[int, int, int]] = []  # (first column, last column, last row)
-    here: list[tuple[int, int, int]] = []
-    now, at, col = None, 0, 1
-    for row, cs, rs in cells:
-        if row != now:
-            above = sorted(x for x in above + here if x[2] >= row)
-            here, now, at, col = [], row, 0, 1
-        while at < len(above) and above[at][0] <= col:
-            col = max(col, above[at][1] + 1)
-            at += 1
-        out.append(col)
+class Places:
+    """Columns for cells of a sheet, given in the order in which they are written. Only the spans that still reach down are held."""
+
+    def __init__(self):
+        self.above: list[tuple[int, int, int]] = []  # (first column, last column, last row)
+        self.here: list[tuple[int, int, int]] = []
+        self.now, self.at, self.col = None, 0, 1
+
+    def column(self, row: int, cs: int, rs: int) -> int:
+        if row != self.now:
+            if self.above or self.here:
+                self.above, self.here = sorted(x for x in self.above + self.here if x[2] >= row), []
+            self.now, self.at, self.col = row, 0, 1
+        col, above = self.col, self.above
+        while self.at < len(above) and above[self.at][0] <= col:
+            col = max(col, above[self.at][1] + 1)
+            self.at += 1
         if rs > 1:
-            here.append((col, col + cs - 1, row + rs - 1))
-        col += cs
-    return out
+            self.here.append((col, col + cs - 1, row + rs - 1))
+        self.col = col + cs
+        return col
 
 
-def _fill(piece: pd.DataFrame) -> pd.DataFrame:
-    piece = piece.sort_values(["row", "k"])
-    piece["col"] = free_columns(list(zip(piece["row"].tolist(), piece["cs"].tolist(), piece["rs"].tolist(), strict=True)))
-    return piece[["sheet", "row", "k", "col", "text", "cs", "rs"]]
+def free_columns(cells: list[tuple[int, int, int]]) -> list[int]:
+    """The column of each cell (row, cs, rs), given in the order in which they are written."""
+    places = Places()
+    return [places.column(*x) for x in cells]
+
+
+def _fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Cells in order of sheet, row, k; of those in one place the first counts. A sheet may come in several batches, and a batch may hold many sheets."""
+    before, places = None, Places()
+    for batch in batches:
+        sheet, row, k, cs, rs = (batch.column(c).to_pylist() for c in ("sheet", "row", "k", "cs", "rs"))
+        first, cols = [], []
+        for n, at in enumerate(zip(sheet, row, k, strict=True)):
+            if at == before:
+                continue
+            if before is None or at[0] != before[0]:
+                places = Places()
+            before = at
+            first.append(n)
+            cols.append(places.column(at[1], cs[n], rs[n]))
+        if len(first) < len(row):
+            batch = batch.take(pa.array(first, pa.int64()))
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("sheet", "row", "k")), pa.array(cols, pa.int64()), *(batch.column(c) for c in ("text", "cs", "rs"))], names=["sheet", "row", "k", "col", "text", "cs", "rs"])
 
 
 def anchors(cells: DataFrame) -> DataFrame:
     """(sheet, row, k, col, text, cs, rs): where each cell begins. Row spans end with the sheet's last row that has a cell."""
     span = lambda c: F.greatest(F.coalesce(F.col(c), F.lit(1)), F.lit(1)).cast("long")
-    c = cells.filter("row IS NOT NULL AND k IS NOT NULL").select("sheet", F.col("row").cast("long").alias("row"), F.col("k").cast("long").alias("k"), F.struct(F.coalesce("text", F.lit("")).alias("text"), span("cs").alias("cs"), span("rs").alias("rs")).alias("x"))
-    c = c.groupBy("sheet", "row", "k").agg(F.min("x").alias("x")).select("sheet", "row", "k", "x.*")
+    c = cells.filter("row IS NOT NULL AND k IS NOT NULL").select("sheet", F.col("row").cast("long").alias("row"), F.col("k").cast("long").alias("k"), F.coalesce("text", F.lit("")).alias("text"), span("cs").alias("cs"), span("rs").alias("rs"))
+    # of repeated cells the deepest counts here: a piece may be longer than it need be, never shorter
     rows = c.groupBy("sheet", "row").agg(F.max("rs").alias("deep"))
     w = W.partitionBy("sheet").orderBy("row")
     rows = rows.withColumn("last", F.max("row").over(W.partitionBy("sheet")))
     reach = F.max(F.col("row") + F.col("deep") - 1).over(w.rowsBetween(W.unboundedPreceding, -1))
     rows = rows.withColumn("begins", F.when(reach >= F.col("row"), 0).otherwise(1))
     rows = rows.select(F.col("sheet").alias("of"), F.col("row").alias("at"), "last", F.sum("begins").over(w.rowsBetween(W.unboundedPreceding, 0)).alias("piece"))
-    c = c.join(rows, F.col("sheet").eqNullSafe(F.col("of")) & (F.col("row") == F.col("at"))).withColumn("rs", F.least("rs", F.col("last") - F.col("row") + 1))
+    # repeated cells are told apart by what they are before their spans are cut
+    c = c.join(rows.hint("merge"), F.col("sheet").eqNullSafe(F.col("of")) & (F.col("row") == F.col("at"))).select("sheet", "row", "k", "text", "cs", F.col("rs").alias("deep"), F.least("rs", F.col("last") - F.col("row") + 1).alias("rs"), F.floor(F.col("piece") / PIECES).alias("part"))
+    c = c.repartition("sheet", "part").sortWithinPartitions("sheet", "row", "k", "text", "cs", "deep").select("sheet", "row", "k", "text", "cs", "rs")
     schema = f"sheet {c.schema['sheet'].dataType.simpleString()}, row long, k long, col long, text string, cs long, rs long"
-    return c.select("sheet", "row", "k", "text", "cs", "rs", F.floor(F.col("piece") / PIECES).alias("part")).groupBy("sheet", "part").applyInPandas(_fill, schema)
+    return c.mapInArrow(_fill, schema)
 
 
 def expanded(anchors: DataFrame) -> DataFrame:
     """(sheet, row, col, text, top, left): every place of the grid that a cell covers, with the cell's text and where it begins; where cells overlap, the one written last."""
-    c = anchors.select("sheet", "row", "k", "col", "text", F.explode(F.sequence(F.col("row"), F.col("row") + F.col("rs") - 1)).alias("y"), "cs")
-    c = c.select("sheet", "y", F.explode(F.sequence(F.col("col"), F.col("col") + F.col("cs") - 1)).alias("x"), F.struct("row", "k", "col", "text").alias("cell"))
-    c = c.groupBy("sheet", "y", "x").agg(F.max("cell").alias("cell"))
+    strip = F.sequence(F.floor(F.col("col") / STRIP), F.floor((F.col("col") + F.col("cs") - 1) / STRIP))
+    c = anchors.select("sheet", "row", "k", "col", "text", F.explode(F.sequence(F.col("row"), F.col("row") + F.col("rs") - 1)).alias("y"), "cs", strip.alias("strips"))
+    c = c.select("sheet", "row", "k", "col", "text", "y", "cs", F.explode("strips").alias("strip")).repartition("sheet", "y", "strip")
+    inside = F.sequence(F.greatest(F.col("col"), F.col("strip") * STRIP), F.least(F.col("col") + F.col("cs"), (F.col("strip") + 1) * STRIP) - 1)
+    c = c.select("sheet", "y", "strip", F.explode(inside).alias("x"), F.struct("row", "k", "col", "text").alias("cell"))
+    c = c.groupBy("sheet", "y", "strip", "x").agg(F.max("cell").alias("cell"))
     return c.select("sheet", F.col("y").alias("row"), F.col("x").alias("col"), "cell.text", F.col("cell.row").alias("top"), F.col("cell.col").alias("left"))
 
 
@@ -142,5 +174,5 @@ def two_row_header_labels(spark, sf_dir):
     numbers = o.select(sheet, *cell(1, F.col("k"), F.concat(F.lit("#"), F.col("o_orderkey").cast("string")), one, 1))
     corner = o.select("o_custkey").distinct().select(sheet, *cell(0, F.lit(0), F.lit("Customer"), one, 2))
     amounts = o.select(sheet, *cell(2, F.col("k"), F.col("o_totalprice").cast("string"), one, 1)).union(o.select("o_custkey").distinct().select(sheet, *cell(2, F.lit(0), F.lit("Sum"), one, 1)))
-    a = anchors(years.union(numbers).union(corner).union(amounts))
+    a = kept(anchors(years.union(numbers).union(corner).union(amounts)))
     return two_row_headers(a, a.select("sheet", F.lit(0).cast("long").alias("row")).distinct())

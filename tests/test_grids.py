@@ -99,3 +99,18 @@ def test_two_row_headers_against_plain_python(spark):
 def test_empty(spark):
     a = g.anchors(spark.createDataFrame([], CELL))
     assert a.collect() == g.expanded(a).collect() == g.two_row_headers(a, a.select("sheet", "row")).collect() == []
+
+
+def test_many_sheets_share_a_batch_and_a_sheet_spans_batches(spark):
+    """Sheets are no groups of their own: one call of Python fills all that lie in a task, and a sheet goes on over batches."""
+    import pyarrow as pa
+
+    rows = [(s, r, k, "t", 1, 2 if k == 0 else 1) for s in (None, 1, 2) for r in range(6) for k in range(2) if not (k == 0 and r % 2)]
+    rows.insert(3, rows[2])  # a repeated cell
+    batch = pa.RecordBatch.from_pylist([dict(zip(("sheet", "row", "k", "text", "cs", "rs"), x, strict=True)) for x in rows])
+    want = [c for s in (None, 1, 2) for c in g.free_columns([x[1:2] + x[4:] for n, x in enumerate(rows) if x[0] == s and n != 3])]
+    for cuts in ([0, len(rows)], list(range(len(rows) + 1)), [0, 4, 5, len(rows)]):
+        got = list(g._fill(batch.slice(i, j - i) for i, j in zip(cuts, cuts[1:], strict=False)))
+        assert [c for b in got for c in b.column("col").to_pylist()] == want
+    plan = g.anchors(frame(spark, {1: {0: [("x", 1, 1)]}}))._jdf.queryExecution().toString()
+    assert "FlatMapGroupsInPandas" not in plan
