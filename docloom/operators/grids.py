@@ -115,25 +115,26 @@ def two_row_headers(anchors: DataFrame, rows: DataFrame) -> DataFrame:
 
     The upper row has a group: a cell over two columns or more, or equal labels side by side. The next row with a text splits groups up: it has more cells than there
     are groups, most of them one column wide, no marks, and one below a group at least. A column without a label of its own has its group's, and no group then."""
+    # sheets are many and their rows small on disk, so none of the sides is broadcast
     same = lambda a, b: F.col(f"{a}.sheet").eqNullSafe(F.col(f"{b}.sheet")) & (F.col(f"{a}.row") == F.col(f"{b}.row"))
     a = anchors.withColumn("label", F.trim(F.replace(F.col("text"), F.lit("\n"), F.lit("")))).filter("label <> ''")
     full = a.select("sheet", "row").distinct().withColumn("next", F.lead("row").over(W.partitionBy("sheet").orderBy("row")))
-    pairs = full.alias("a").join(rows.select("sheet", "row").distinct().alias("b"), same("a", "b"), "left_semi").filter("next IS NOT NULL")
+    pairs = full.alias("a").join(rows.select("sheet", "row").distinct().hint("merge").alias("b"), same("a", "b"), "left_semi").filter("next IS NOT NULL")
     w = W.partitionBy("sheet", "row").orderBy("col", "k")
-    upper = a.alias("a").join(pairs.alias("b"), same("a", "b")).select("a.*", "b.next")
+    upper = a.alias("a").join(pairs.hint("merge").alias("b"), same("a", "b")).select("a.*", "b.next")
     upper = upper.withColumn("hi", F.col("col") + F.col("cs") - 1)
     goes_on = (F.lag("label").over(w) == F.col("label")) & (F.lag("hi").over(w) + 1 == F.col("col")) & _groups(F.col("label"))
     upper = upper.withColumn("run", F.sum(F.when(goes_on, 0).otherwise(1)).over(w.rowsBetween(W.unboundedPreceding, 0)))
     spans = upper.groupBy("sheet", "row", "next", "run").agg(F.min("col").alias("lo"), F.max("hi").alias("hi"), F.count(F.lit(1)).alias("n"), F.max("cs").alias("cs")).filter("hi > lo AND (n > 1 OR cs > 1)")
     spans = spans.groupBy("sheet", "row", F.col("next")).agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
     low = a.select("sheet", F.col("row").alias("at"), "col", "k", "cs", "label")
-    lower = spans.join(low.withColumnRenamed("sheet", "of"), F.col("sheet").eqNullSafe(F.col("of")) & (F.col("next") == F.col("at")))
+    lower = spans.join(low.withColumnRenamed("sheet", "of").hint("merge"), F.col("sheet").eqNullSafe(F.col("of")) & (F.col("next") == F.col("at")))
     under = F.exists("spans", lambda x: F.col("col").between(x["lo"], x["hi"]))
     ok = lower.groupBy("sheet", "row").agg(F.count(F.lit(1)).alias("n"), F.max(F.size("spans")).alias("groups"), F.count_if(F.col("cs") == 1).alias("single"), F.bool_or(T.is_mark(F.col("label"))).alias("marked"), F.bool_or(under).alias("under"))
     ok = ok.filter((F.col("n") > F.col("groups")) & (F.col("single") >= SINGLE * F.col("n")) & ~F.col("marked") & F.col("under")).select("sheet", "row")
     over = upper.select("sheet", "row", "k", "label", F.explode(F.sequence("col", "hi")).alias("col")).groupBy("sheet", "row", "col").agg(F.max_by("label", "k").alias("label"))
     both = over.withColumn("up", F.lit(True)).unionByName(lower.select("sheet", "row", "col", "label", F.lit(False).alias("up")))
-    both = both.alias("a").join(ok.alias("b"), same("a", "b"), "left_semi").groupBy("sheet", "row", "col").agg(F.max(F.when(~F.col("up"), F.col("label"))).alias("own"), F.max(F.when(F.col("up"), F.col("label"))).alias("group"))
+    both = both.alias("a").join(ok.hint("merge").alias("b"), same("a", "b"), "left_semi").groupBy("sheet", "row", "col").agg(F.max(F.when(~F.col("up"), F.col("label"))).alias("own"), F.max(F.when(F.col("up"), F.col("label"))).alias("group"))
     leaf = F.coalesce("own", "group")
     return both.select("sheet", "row", "col", leaf.alias("leaf"), F.when(F.col("group") != leaf, F.col("group")).alias("over"))
 
