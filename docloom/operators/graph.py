@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -12,6 +16,8 @@ from docloom.functions.numbering import numbered
 from docloom.plans.checkpoints import kept
 from docloom.plans.registry import query, table
 
+#: Links whose components are found together in a task.
+CHUNK = 1_000_000
 #: A move or a level that adds no more than this to the modularity is none.
 LEAST_GAIN = 1e-7
 #: Two rounds running that add less than this share of what the level has gained end the level: the next one goes on faster.
@@ -20,10 +26,64 @@ LEAST_SHARE = 1e-3
 MOST_HALVES = 8
 
 
-def connected(links: DataFrame) -> DataFrame:
-    """links (a, b) -> (v, c): the smallest vertex that can be reached from v. Vertices hang themselves below the smallest neighbour's label, and labels are
-    replaced by their own labels, so that a path of n vertices takes about log n rounds. Loops, repeated links and nulls are harmless."""
-    pairs = links.filter("a IS NOT NULL AND b IS NOT NULL").select("a", "b")
+def _roots(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The vertices of links and the smallest one that each can reach over them."""
+    v, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = ends[: len(a)], ends[len(a) :]
+    root = np.arange(len(v))
+    while True:
+        low = np.minimum(root[x], root[y])
+        new = root.copy()
+        for end in (x, y):
+            np.minimum.at(new, root[end], low)  # the old root hears of it as well
+            np.minimum.at(new, end, low)
+        while not np.array_equal(up := new[new], new):
+            new = up
+        if np.array_equal(new, root):
+            return v, v[root]
+        root = new
+
+
+def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(v, c, piece): components of links (a, b), a piece of about CHUNK links at a time."""
+    task, n, held, size = TaskContext.get().partitionId(), 0, [], 0
+
+    def found() -> pa.RecordBatch:
+        t = pa.Table.from_batches(held)
+        v, c = _roots(t.column("a").to_numpy(), t.column("b").to_numpy())
+        return pa.RecordBatch.from_arrays([pa.array(v), pa.array(c), pa.array(np.full(len(v), (task << 32) + n))], names=["v", "c", "piece"])
+
+    for batch in batches:
+        held.append(batch)
+        size += len(batch)
+        if size >= CHUNK:
+            yield found()
+            n, held, size = n + 1, [], 0
+    if size:
+        yield found()
+
+
+def connected(links: DataFrame, near: Sequence[str] = ()) -> DataFrame:
+    """links (a, b), long -> (v, c): the smallest vertex that can be reached from v. Loops, repeated links and nulls are harmless.
+
+    near: further columns of links; those that agree on them are brought together. First components are found within pieces of links of bounded size; what no other
+    piece touches is settled. Only the rest goes through rounds over all of it, with one link a vertex and piece."""
+    pairs = links.filter("a IS NOT NULL AND b IS NOT NULL")
+    if near:
+        pairs = pairs.repartition(*near).sortWithinPartitions(*near)
+    stars = kept(pairs.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).mapInArrow(_stars, "v long, c long, piece long"))
+    shared = stars.groupBy("v").agg(F.min("piece").alias("low"), F.max("piece").alias("high")).filter("low < high").select("v")
+    open_ = kept(stars.join(shared, "v", "left_semi").select("piece", "c").distinct())
+    if not open_.limit(1).count():
+        return stars.select("v", "c")
+    settled = stars.join(open_, ["piece", "c"], "left_anti").select("v", "c")
+    rest = stars.join(open_, ["piece", "c"], "left_semi")
+    return settled.unionByName(_connected(rest.select(F.col("v").alias("a"), F.col("c").alias("b"))))
+
+
+def _connected(pairs: DataFrame) -> DataFrame:
+    """Rounds of joins: vertices hang themselves below the smallest neighbour's label, and labels are replaced by their own labels, so that a path of n vertices
+    takes about log n rounds."""
     both = kept(pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     labels = kept(both.groupBy(F.col("a").alias("v")).agg(F.least(F.min("a"), F.min("b")).alias("c")))
     while True:

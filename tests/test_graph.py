@@ -141,3 +141,18 @@ def test_connected(spark):
             seen[b] = a
     got = {r.v: r.c for r in connected(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {v: find(v) for v in list(seen)}
+
+
+def test_components_that_cross_pieces(spark, monkeypatch):
+    from docloom.operators import graph
+
+    links = [(k, k + 1, k // 7) for k in range(60)] + [(100 + 2 * k, 101 + 2 * k, k) for k in range(20)] + [(500, 500, 1), (None, 3, 1)]
+    want = {v: 0 for v in range(61)} | {100 + k: 100 + k // 2 * 2 for k in range(40)} | {500: 500}
+    for chunk in (1, 5, 1000):
+        monkeypatch.setattr(graph, "CHUNK", chunk)
+        for near in ((), ("part",)):
+            got = [tuple(r) for r in graph.connected(spark.createDataFrame(links, "a long, b long, part int").repartition(4), near).select("v", "c").collect()]
+            assert dict(got) == want and set(got) == set(want.items())
+    # what no piece shares needs no rounds
+    monkeypatch.setattr(graph, "_connected", None)
+    assert len(graph.connected(spark.createDataFrame(links[60:80], "a long, b long, part int"), ("part",)).collect()) == 40
