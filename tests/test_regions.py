@@ -114,3 +114,32 @@ def test_boxes_within_boxes_and_chains(spark):
 
 def test_empty(spark):
     assert R.regions(frame(spark, {})).collect() == []
+
+
+def test_large_and_small_sheets_and_no_pairs_across_sheets(spark, monkeypatch):
+    """Sheets above and below the bound give what plain Python gives, and boxes look for each other within their sheet only."""
+    made = sheets(11, 9)
+    want = {(s, *b[:4]) for s, c in made.items() for b in plain_regions(c)}
+    for bound in (0, 12, 4096):
+        monkeypatch.setattr(R, "LOCAL", bound)
+        assert {(r.sheet, r.r0, r.r1, r.c0, r.c1) for r in R.regions(frame(spark, made)).collect()} == want
+    links = []
+    monkeypatch.setattr(R.graph, "connected", lambda x, near=(): links.append(x) or x.select(x.a.alias("v"), x.b.alias("c")).limit(0))
+    monkeypatch.setattr(R, "kept", lambda df: links.append(df) or df)
+    boxes = spark.createDataFrame([(s, s, 0, 1, 0, 1, 4, 0) for s in range(50)], "sheet long, id long, r0 long, r1 long, c0 long, c1 long, cells long, bordered long")
+    R.clusters(boxes)
+    keys = [x._jdf.queryExecution().optimizedPlan().toString() for x in links if x.columns[:2] == ["a", "b"]]
+    assert keys and all("sheet" in line for k in keys for line in k.splitlines() if "Join Inner" in line)
+
+
+def test_folding_pairs_against_a_new_search_after_each_merge():
+    for seed in range(40):
+        rng = random.Random(seed)
+        boxes = [[r, r + rng.randrange(3), c, c + rng.randrange(4), 1, 0] for r, c in ((rng.randrange(25), rng.randrange(12)) for _ in range(30))]
+        for near, test in ((R.met, meets), (R.adjacent, titled)):
+            want = sorted((list(b) for b in boxes), key=lambda b: (b[0], b[2]))
+            while pair := first_pair(want, test):
+                want[pair[0]] = R.united(want[pair[0]], want.pop(pair[1]))
+                want.sort(key=lambda b: (b[0], b[2]))
+            R._fold_pairs(boxes, near, 0 if near is R.met else R.TITLE_GAP + 1)
+            assert sorted(boxes) == sorted(want)
