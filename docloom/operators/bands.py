@@ -45,9 +45,10 @@ def _same(a: str, b: str, names: list[str]) -> Column:
 
 
 def _with(a: DataFrame, b: DataFrame, names: list[str], how: str = "inner") -> DataFrame:
-    """a and b's other columns, joined on names, where nulls are equal."""
+    """a and b's other columns, joined on names, where nulls are equal. Neither side is broadcast: the tables have a row for each sheet or more, and Parquet makes
+    them look far smaller than they are in the driver's memory."""
     kept_of_b = [] if how in ("left_semi", "left_anti") else [F.col(f"b.{c}") for c in b.columns if c not in names]
-    return a.alias("a").join(b.alias("b"), _same("a", "b", names), how).select("a.*", *kept_of_b)
+    return a.alias("a").join(b.hint("merge").alias("b"), _same("a", "b", names), how).select("a.*", *kept_of_b)
 
 
 def whole(regions: DataFrame) -> DataFrame:

@@ -224,3 +224,11 @@ def test_empty(spark):
     p = b.placed(c, r)
     h = b.bands(p, r, m)
     assert h.collect() == [] == b.footers(p, r, h).collect() == b.roles(p, b.names(p, r, h), h, m).collect()
+
+
+def test_nothing_that_grows_with_the_sheets_is_broadcast(spark):
+    from docloom.plans.registry import QUERIES
+
+    for name in ("m10_header_bands", "m11_column_roles", "m12_footers"):
+        plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        assert "Join" in plan and "Broadcast" not in plan
