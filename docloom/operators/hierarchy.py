@@ -1,23 +1,20 @@
 """Hierarchies of sheets: for each row the chain of headings above it, column by column.
 
 Cells are rows (sheet, row, col, text). A plain text stands for its column and resets it; a text with a marker goes one step deeper if its kind of marker is new in the
-column, and back to that kind's step if it isn't. A change of a column empties the columns to its right. Where the leftmost column holds a plain text nothing before
-it matters any more, so sheets are folded in pieces that begin there.
+column, and back to that kind's step if it isn't. A change of a column empties the columns to its right. Cells are folded as they stream by, in order.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from docloom.plans.registry import query, table
 
-#: Pieces of a sheet that are folded together: any run of whole pieces gives the same chains.
-PIECES = 512
 #: The kinds of markers and how they are told, the first that fits.
 MARKERS = (
     ("je", r"^제\s*\d+\s*[장조절편관]"),
@@ -51,27 +48,42 @@ def stepped(chain: list[tuple[str | None, str]], kind: str | None, text: str) ->
     return [*chain[:at], (kind, text)]
 
 
-def _fold(piece: pd.DataFrame) -> pd.DataFrame:
-    chains: dict[int, list] = {}
-    out: dict[int, list[str]] = {}
-    piece = piece.sort_values(["row", "col"])
-    for row, col, text, kind in zip(piece["row"], piece["col"], piece["text"], piece["kind"], strict=True):
-        chains = {c: x for c, x in chains.items() if c <= col}
-        chains[col] = stepped(chains.get(col, []), None if pd.isna(kind) else kind, text)
-        out[row] = [t for c in sorted(chains) for _, t in chains[c]]
-    return pd.DataFrame({"sheet": [piece["sheet"].iloc[0]] * len(out), "row": list(out), "path": list(out.values())})
+def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Cells in order of sheet, row, col, text; of those in one place the first counts. Only the chains at hand and the row at hand are held."""
+    before, chains, path = None, {}, None
+    for batch in batches:
+        out: list[tuple] = []
+        for sheet, row, col, text, kind in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            at = (sheet, row, col)
+            if at == before:
+                continue
+            if before is not None and at[:2] != before[:2]:
+                out.append((*before[:2], path))
+            if before is None or sheet != before[0]:
+                chains = {}
+            before = at
+            if any(c > col for c in chains):
+                chains = {c: x for c, x in chains.items() if c <= col}
+            chains[col] = stepped(chains.get(col, []), kind, text)
+            path = [t for c in sorted(chains) for _, t in chains[c]]
+        yield _rows(out, batch.schema)
+    if before is not None:
+        yield _rows([(*before[:2], path)], batch.schema)
+
+
+def _rows(out: list[tuple], like: pa.Schema) -> pa.RecordBatch:
+    sheets, rows, paths = zip(*out, strict=True) if out else ((), (), ())
+    return pa.RecordBatch.from_arrays([pa.array(sheets, like.field(0).type), pa.array(rows, like.field(1).type), pa.array(paths, pa.list_(pa.string()))], names=["sheet", "row", "path"])
 
 
 def paths(cells: DataFrame, cols: Iterable[int]) -> DataFrame:
     """(sheet, row, path) for each row with a text in the hierarchy columns. Null and blank texts leave the chains as they are; of repeated cells one counts."""
     cols = sorted(cols)
-    c = cells.filter(F.col("col").isin(cols) & F.col("row").isNotNull() & (F.trim("text") != "")).groupBy("sheet", "row", "col").agg(F.min(F.trim("text")).alias("text"))
-    c = c.withColumn("kind", marker_kind(F.col("text")))
-    begins = ((F.col("col") == cols[0]) & F.col("kind").isNull()).cast("int")
-    c = c.withColumn("piece", F.sum(begins).over(W.partitionBy("sheet").orderBy("row", "col").rowsBetween(W.unboundedPreceding, 0)))
+    c = cells.filter(F.col("col").isin(cols) & F.col("row").isNotNull() & (F.trim("text") != "")).select("sheet", "row", "col", F.trim("text").alias("text"))
     schema = f"sheet {c.schema['sheet'].dataType.simpleString()}, row {c.schema['row'].dataType.simpleString()}, path array<string>"
-    # a row is never cut: a plain text of the leftmost column is its first
-    return c.groupBy("sheet", F.floor(F.col("piece") / PIECES)).applyInPandas(_fold, schema)
+    # one shuffle and one sort, and no sheet is ever held: the rest streams through
+    c = c.repartition("sheet").sortWithinPartitions("sheet", "row", "col", "text")
+    return c.withColumn("kind", marker_kind(F.col("text"))).mapInArrow(_fold, schema)
 
 
 @query("e14_m16_hierarchy_paths")

@@ -54,3 +54,20 @@ def test_a_shallow_change_empties_deeper_columns(spark):
     got = {r.row: list(r.path) for r in paths(spark.createDataFrame(cells, "sheet int, row long, col int, text string"), (0, 1, 2)).collect()}
     assert got == {0: ["Sales", "1. plan"], 1: ["Sales", "1. plan", "a) goal"], 2: ["Sales", "1. plan", "b) cost"], 3: ["Sales", "2. act"], 4: ["Sales", "2. act", "note"], 5: ["Staff"], 6: ["Staff", "a) hire"]}
     assert paths(spark.createDataFrame([], "sheet int, row long, col int, text string"), (0,)).collect() == []
+
+
+def test_sheets_stream_in_batches_of_any_size(spark):
+    import pyarrow as pa
+
+    from docloom.operators import hierarchy as H
+
+    cells = [(s, r, c, t, k) for s in (None, 1, 2) for r, c, t, k in [(0, 0, "a", None), (0, 1, "1. x", "num"), (1, 1, "a) y", "alpha"), (1, 1, "b) y", "alpha"), (2, 1, "2. z", "num"), (3, 0, "b", None)]]
+    names = ("sheet", "row", "col", "text", "kind")
+    batch = pa.RecordBatch.from_pylist([dict(zip(names, x, strict=True)) for x in cells])
+    want = [(s, r, p) for s in (None, 1, 2) for r, p in enumerate([["a", "1. x"], ["a", "1. x", "a) y"], ["a", "2. z"], ["b"]])]
+    for step in (1, 4, 100):
+        got = [tuple(x.values()) for b in H._fold(batch.slice(i, step) for i in range(0, len(cells), step)) for x in b.to_pylist()]
+        assert got == want
+    c = spark.createDataFrame([(1, 1, 0, "a")], "sheet int, row int, col int, text string")
+    plan = H.paths(c, (0, 1))._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Aggregate" not in plan and "FlatMapGroups" not in plan
