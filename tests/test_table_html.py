@@ -67,3 +67,29 @@ def test_hostile_texts_take_linear_time(part):
     t._shown(part * 200_000)
     t._parts(part * 200_000)
     assert time.time() - started < 20
+
+
+def test_python_holds_a_slice_of_a_batch():
+    """Texts become Python objects SLICE at a time, whatever the size of a batch."""
+    import weakref
+
+    import pyarrow as pa
+
+    from docloom.functions import table_html as t
+
+    alive, most = weakref.WeakSet(), 0
+
+    class Part(dict):
+        __hash__ = object.__hash__
+
+    def of(text):
+        nonlocal most
+        part = Part(kind="text", text=text)
+        alive.add(part)
+        most = max(most, len(alive))
+        return [part]
+
+    texts = [str(k) if k % 7 else None for k in range(1000)]
+    got = t._by_slices(pa.array(texts), of, t._PARTS)
+    assert got.to_pylist() == [None if x is None else [{"kind": "text", "text": x}] for x in texts] and most <= 2 * t.SLICE
+    assert t._by_slices(pa.array([], pa.string()), of, t._PARTS).to_pylist() == []
