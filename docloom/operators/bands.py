@@ -235,7 +235,8 @@ def _sheets(spark, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     regions = heads.select("sheet", F.lit(0).cast("long").alias("region"), F.lit(1).cast("long").alias("r0"), (end + 1).cast("long").alias("r1"), F.lit(1).cast("long").alias("c0"), F.lit(5).cast("long").alias("c1"))
     box = lambda r0, r1, c0, c1: F.struct(*[F.lit(v).cast("long").alias(k) for k, v in zip(("r0", "r1", "c0", "c1"), (r0, r1, c0, c1), strict=True)])
     merges = heads.filter("two").select("sheet", F.explode(F.array(box(3, 3, 2, 4), box(3, 4, 1, 1), box(3, 4, 5, 5))).alias("x")).select("sheet", "x.*")
-    return cells, regions, merges
+    # asked for in many joins: written once
+    return cells, kept(regions), kept(merges)
 
 
 _SHEETS = """s AS (SELECT c_custkey AS sheet, c_mktsegment IN ('BUILDING', 'MACHINERY') AS two, c_acctbal < 3000 AS apart, count(*) AS n,
