@@ -13,3 +13,22 @@ def test_phantoms_and_roll_ups(spark):
     assert (deep.label, deep.total, deep.parent, deep.depth, deep.breadcrumb) == ("later", 7, "1.2", 3, "1: > 1.2:")
     assert got["s", "2"].total is None and not got["s", "2"].phantom and got[None, "1"].total == 2
     assert tree(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_walked_and_added_up_trees_are_the_same(spark, monkeypatch):
+    import random
+
+    from docloom.operators import prefix_tree as P
+
+    rng = random.Random(3)
+    no = lambda: ".".join(str(rng.choice([1, 2, 10, 11])) for _ in range(rng.randint(1, 5)))
+    rows = [(rng.choice([None, "a", "b"]), no(), rng.choice([None, "x", "y", ""]), rng.choice([None, 1, 5]), rng.randrange(9)) for _ in range(400)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    got = {}
+    for bound in (-1, 20, 1_000_000):
+        monkeypatch.setattr(P, "TOGETHER", bound)
+        got[bound] = sorted(map(repr, tree(df).collect()))
+    assert len(got[-1]) > 100 and got[-1] == got[20] == got[1_000_000]
+    # one shuffle of rows, no join
+    plan = tree(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.count("Generate") == 0
