@@ -99,6 +99,44 @@ def test_modularity_never_falls(spark):
         assert abs(q - plain_modularity(edges, {r.v: r.c for r in labels.collect()})) < 1e-9
 
 
+@pytest.mark.parametrize("resolution", [1.0, 2.5])
+def test_every_round_counts(spark, resolution):
+    """Links without structure: moves that are good one by one crowd the same communities. No round is to be made in vain, and few are to be enough."""
+    rng = random.Random(4)
+    edges = [(b, -s, float(rng.randint(10, 30))) for b in range(1, 7) for s in range(1, 61)]
+    level = Level(both_ways(frame(spark, edges)), resolution)
+    seen, look = [], level.look
+
+    def watched(labels):
+        out = look(labels)
+        seen.append(out[1])
+        return out
+
+    level.look = watched
+    assert level.settle()
+    assert all(x < y for x, y in zip(seen, seen[1:], strict=False)) and len(seen) < 40
+    if resolution == 1.0:
+        assert modularity(frame(spark, edges), level.labels) > 0.8 * plain_modularity(edges, plain_louvain(edges))
+
+
+def test_moves_that_share_a_community_pay_for_each_other(spark):
+    edges = [(0, k, 1.0) for k in range(1, 41)] + [(50 + k, k, 2.0) for k in range(1, 41)]
+    level = Level(both_ways(frame(spark, edges)), 1.5)
+    moves, q, best = level.look(level.labels)
+    moves = moves.filter("d = 0")  # each leaf's hub, while a few of them are enough to fill it
+    new = {r.v: r.to for r in level.together(moves, moves.v == 7).collect()}
+    alone = {r.v: r.gain for r in moves.collect()}
+    got = plain_modularity(edges, {v: new.get(v, v) for v in range(91)}, 1.5)
+    assert len(alone) == 40 and 7 in new and set(new.values()) == {0} and q < got < q + sum(alone[v] for v in new)
+    assert plain_modularity(edges, {v: 0 if v <= 40 else v for v in range(91)}, 1.5) < got
+
+
+def test_weights_below_zero(spark):
+    edges = [*TRIANGLES, (3, 11, -0.5), (20, 1, 1.0), (20, 11, -1.0)]  # the degree of 20 is zero
+    got = {r.v: r.c for r in communities(frame(spark, edges)).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 20: 1, 11: 11, 12: 11, 13: 11}
+
+
 def test_paths_hubs_and_resolution(spark):
     path = [(k, k + 1, 1.0) for k in range(8)]
     got = {r.v: r.c for r in communities(frame(spark, path)).collect()}
