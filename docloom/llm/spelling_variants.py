@@ -1,8 +1,10 @@
 """Spelling variants: words that are one edit apart, by Levenshtein automata over broadcast trie shards.
 
-Words are counted in Spark. Sorted ranges of them become path-compressed tries of bounded size, which are broadcast in groups of bounded size. Each word's
-automaton of distance one walks every shard depth-first and accepts its neighbours there; a task gives their number and the most frequent one, and groups are
-added up by word. Forms are followed to their roots by pointer doubling.
+Words are counted in Spark. Sorted ranges of them become path-compressed tries of bounded size, and so do sorted ranges of the words read backwards; both are
+broadcast in groups of bounded size. Each word is cut in two: a neighbour whose edit lies in the tail has the same head, any other one has the same tail. So a
+word's automaton of distance one walks, depth-first, only the shards with words that begin with its head and the backward shards with words that end with its
+tail; the cut is moved from the middle where that saves shards. A task gives the number of neighbours and the most frequent one, and groups are added up by
+word. Forms are followed to their roots by pointer doubling.
 
 Defined cases: null and empty texts hold no words; a null doc_id is written as an empty string where it is hashed; repeated rows count again; words may be of any
 length (a path of one word is one edge of the trie); of equally frequent neighbours the first in code-point order is the form; an empty table gives an empty table;
@@ -17,7 +19,7 @@ from array import array
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .store import stash
@@ -29,9 +31,12 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 DAMAGE, RATIO = 31, 10
 #: Words and bytes of words in a shard, bytes of the shards that are broadcast at once, words of a task.
 SHARD_WORDS, SHARD_BYTES, GROUP_BYTES, TASK_WORDS = 1 << 17, 1 << 22, 1 << 25, 20_000
+#: Letters of a shard's first and last word by which words are sent to it.
+END = 1024
 
-SHARD_SCHEMA = "size long, shard binary"
-NEAR_SCHEMA = "word string, n long, n_near long, best_n long, best string"
+SHARD_SCHEMA = "size long, first string, last string, shard binary"
+CUT_SCHEMA = "word string, n long, head int"
+NEAR_SCHEMA = "word string, n_near long, best_n long, best string"
 
 
 def words_of(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -77,8 +82,9 @@ class Trie:
         self.child.append(made)
         self.text, self.first = bytes(text), bytes(first)
 
-    def near(self, word: bytes) -> Iterator[tuple[int, bytes]]:
-        """(count, neighbour) of all words at a distance of exactly one, each once: depth-first along the word, and off it by the one edit."""
+    def near(self, word: bytes, least: int = 0) -> Iterator[tuple[int, bytes]]:
+        """(count, neighbour) of all words at a distance of exactly one that share the first least letters, each once: depth-first along the word, and off it by
+        the one edit."""
         text, first, child, edge, count, size = self.text, self.first, self.child, self.edge, self.count, len(word)
 
         def rest(node: int, at: int, i: int) -> int:
@@ -100,25 +106,28 @@ class Trie:
             # at a node, with word[:i] read; of equal letters in a row the last one is left out, and a letter is put in behind its like
             lo, hi = child[node], child[node + 1]
             here = word[i] if i < size else -1
-            if i < size and (i + 1 == size or word[i + 1] != here):
-                if i + 1 == size:
-                    n = count[node]
-                else:
-                    c = first.find(word[i + 1], lo, hi)
-                    n = rest(c, edge[c] + 1, i + 2) if c >= 0 else 0
-                if n:
-                    yield n, word[:i] + word[i + 1 :]
-            nxt = -1
-            for c in range(lo, hi):
-                x = first[c]
-                if x == here:
-                    nxt = c
-                    continue
-                at = edge[c] + 1
-                if i < size and (n := rest(c, at, i + 1)):
-                    yield n, word[:i] + bytes((x,)) + word[i + 1 :]
-                if n := rest(c, at, i):
-                    yield n, word[:i] + bytes((x,)) + word[i:]
+            if i < least:
+                nxt = first.find(here, lo, hi)
+            else:
+                if i < size and (i + 1 == size or word[i + 1] != here):
+                    if i + 1 == size:
+                        n = count[node]
+                    else:
+                        c = first.find(word[i + 1], lo, hi)
+                        n = rest(c, edge[c] + 1, i + 2) if c >= 0 else 0
+                    if n:
+                        yield n, word[:i] + word[i + 1 :]
+                nxt = -1
+                for c in range(lo, hi):
+                    x = first[c]
+                    if x == here:
+                        nxt = c
+                        continue
+                    at = edge[c] + 1
+                    if i < size and (n := rest(c, at, i + 1)):
+                        yield n, word[:i] + bytes((x,)) + word[i + 1 :]
+                    if n := rest(c, at, i):
+                        yield n, word[:i] + bytes((x,)) + word[i:]
             node = nxt
             if node < 0:
                 return
@@ -129,6 +138,8 @@ class Trie:
                 continue
             while i < size and text[at] == word[i]:  # within an edge there is but one way to go on
                 at, i = at + 1, i + 1
+            if i < least:
+                return
             x = text[at : at + 1]
             if i < size:
                 if n := rest(node, at, i + 1):
@@ -157,7 +168,8 @@ def shards(most_words: int, most_bytes: int):
         def made() -> pa.RecordBatch:
             words = sorted(held)
             raw = Trie(words, [held[w] for w in words]).pack()
-            return pa.RecordBatch.from_arrays([pa.array([len(raw)], pa.int64()), pa.array([raw], pa.binary())], names=["size", "shard"])
+            ends = [pa.array([w[:END].decode("latin-1")], pa.string()) for w in (words[0], words[-1])]
+            return pa.RecordBatch.from_arrays([pa.array([len(raw)], pa.int64()), *ends, pa.array([raw], pa.binary())], names=["size", "first", "last", "shard"])
 
         for batch in batches:
             for w, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -174,58 +186,105 @@ def shards(most_words: int, most_bytes: int):
     return run
 
 
-def searched(group, every: bool):
+def cut(word: bytes, ends: list[tuple[list[bytes], list[bytes]]]) -> int:
+    """Length of the word's head: half of the word, unless that leaves over two shards to walk and another number of sixteenths leaves fewer. ends: the sorted
+    first and last words of the shards, forward and backward."""
+    back, size = word[::-1], len(word)
+
+    def walks(head: int) -> int:
+        n = 0
+        for way, least, (firsts, lasts) in ((word, head, ends[0]), (back, size - head, ends[1])):
+            key = way[: min(least, END)]
+            n += bisect.bisect_right(firsts, key, key=lambda w, k=len(key): w[:k]) - bisect.bisect_left(lasts, key)
+        return n
+
+    if walks(size // 2) <= 2:
+        return size // 2
+    return min(sorted({size * k // 16 for k in range(17)} | {size // 2}, key=lambda k: abs(2 * k - size)), key=walks)
+
+
+def dealing(ends):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            heads = [cut(w.encode("latin-1"), ends.value) for w in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(heads, pa.int32())], names=["word", "n", "head"])
+
+    return run
+
+
+def searched(group, backward: bool):
+    """Rows for the words that have neighbours in the group: with the edit in the tail, or else, in backward shards, with the edit in the head."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tries = None
         for batch in batches:
-            tries = tries or [Trie.unpack(raw) for raw in group.value]
+            tries = tries or [(first.encode("latin-1"), last.encode("latin-1"), Trie.unpack(raw)) for first, last, raw in group.value]
             out: list[tuple] = []
-            for w, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for w, cut_at in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 raw, found, best_n, best = w.encode("latin-1"), 0, 0, b""
-                for trie in tries:
-                    for m, near in trie.near(raw):
+                head, way, least = (raw[:cut_at], raw[::-1], len(raw) - cut_at) if backward else (b"", raw, cut_at)
+                upto = min(least, END)
+                key = way[:upto]
+                for first, last, trie in tries:
+                    if not first[:upto] <= key <= last[:upto]:
+                        continue
+                    for m, near in trie.near(way, least):
+                        if backward:
+                            near = near[::-1]
+                            if near.startswith(head):  # found forward
+                                continue
                         found += 1
                         if m > best_n or (m == best_n and near < best):
                             best_n, best = m, near
                 if found:
-                    out.append((w, n, found, best_n, best.decode("latin-1")))
-                elif every:
-                    out.append((w, n, 0, None, None))
-            cols = list(zip(*out, strict=True)) if out else [[]] * 5
-            kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["word", "n", "n_near", "best_n", "best"])
+                    out.append((w, found, best_n, best.decode("latin-1")))
+            cols = list(zip(*out, strict=True)) if out else [[]] * 4
+            kinds = [pa.string(), pa.int64(), pa.int64(), pa.string()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["word", "n_near", "best_n", "best"])
 
     return run
 
 
+def meets(first: str, last: str, backward: bool) -> Column:
+    """Whether a word from first to last may begin with this word's head or, all read backwards, with its tail."""
+    least = F.least(F.length("word") - F.col("head") if backward else F.col("head"), F.lit(END))
+    key, lo, hi = (F.substring(c, F.lit(1), least) for c in (F.reverse("word") if backward else F.col("word"), F.lit(first), F.lit(last)))
+    return key.between(lo, hi)
+
+
 def neighbours(words: DataFrame, shard_words: int = SHARD_WORDS, shard_bytes: int = SHARD_BYTES, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """words (word, n), distinct Latin-1 words -> (word, n, n_near, best_n, best): the number of words at a distance of one, and the most frequent of them."""
     spark = words.sparkSession
     total = words.count()
     parts = max(1, -(-total // shard_words))
-    ranges = words.repartitionByRange(parts, "word").coalesce(parts).sortWithinPartitions("word")
-    made = stash(ranges.mapInArrow(shards(shard_words, shard_bytes), SHARD_SCHEMA).withColumn("id", F.monotonically_increasing_id()), "shards")
-    dealt = stash(words.repartition(max(1, -(-total // TASK_WORDS))), "words")
-    groups: list[list[int]] = [[]]
-    room = group_bytes
-    for r in made.select("id", "size").toLocalIterator():  # a row for each shard of thousands of words
-        if groups[-1] and r["size"] > room:
+
+    def sharded(backward: bool) -> DataFrame:
+        ranges = words.select(F.reverse("word").alias("word") if backward else "word", "n").repartitionByRange(parts, "word").coalesce(parts).sortWithinPartitions("word")
+        return ranges.mapInArrow(shards(shard_words, shard_bytes), SHARD_SCHEMA).withColumn("backward", F.lit(backward))
+
+    made = stash(sharded(False).union(sharded(True)).withColumn("id", F.monotonically_increasing_id()), "shards")
+    rows = made.select("backward", "first", "last", "id", "size").orderBy("backward", "first").collect()  # a row for each shard of thousands of words
+    ends = [tuple(sorted(r[x].encode("latin-1") for r in rows if r.backward == backward) for x in ("first", "last")) for backward in (False, True)]
+    dealt = words.select("word", "n").repartition(max(1, -(-total // TASK_WORDS))).mapInArrow(dealing(spark.sparkContext.broadcast(ends)), CUT_SCHEMA)
+    dealt = stash(dealt, "words")
+    groups: list[list] = []
+    room = 0
+    for r in rows:
+        if not groups or groups[-1][0].backward != r.backward or r["size"] > room:
             groups.append([])
             room = group_bytes
-        groups[-1].append(r["id"])
+        groups[-1].append(r)
         room -= r["size"]
-    found = []
-    for k, ids in enumerate(groups):
-        group = spark.sparkContext.broadcast([bytes(r["shard"]) for r in made.filter(F.col("id").isin(ids)).select("shard").collect()])  # GROUP_BYTES at most, or one shard
-        found.append(stash(dealt.mapInArrow(searched(group, k == 0), NEAR_SCHEMA), "near"))
+    out = dealt.select("word", "n", F.lit(0).cast("long").alias("n_near"), F.lit(None).cast("long").alias("best_n"), F.lit(None).cast("string").alias("best"))
+    for held in groups:
+        backward, shard = held[0].backward, made.filter(F.col("id").isin([r.id for r in held])).select("first", "last", "shard")
+        group = spark.sparkContext.broadcast([(r["first"], r["last"], bytes(r["shard"])) for r in shard.collect()])  # GROUP_BYTES at most, or one shard
+        asked = dealt.filter(meets(held[0]["first"], max(r["last"] for r in held), backward)).select("word", "head")
+        found = stash(asked.mapInArrow(searched(group, backward), NEAR_SCHEMA), "near")
         group.unpersist()
-    if len(found) == 1:
-        return found[0]
-    out = found[0]
-    for more in found[1:]:
-        out = out.union(more)
-    best = F.min_by(F.struct("best_n", "best"), F.when(F.col("best_n").isNotNull(), F.struct((-F.col("best_n")).alias("a"), F.col("best").alias("b"))))
-    return out.groupBy("word").agg(F.max("n").alias("n"), F.sum("n_near").alias("n_near"), best.alias("x")).select("word", "n", "n_near", F.col("x.best_n").alias("best_n"), F.col("x.best").alias("best"))
+        out = out.union(found.select("word", F.lit(None).cast("long").alias("n"), "n_near", "best_n", "best"))
+    best = F.min(F.when(F.col("best_n").isNotNull(), F.struct((-F.col("best_n")).alias("a"), F.col("best").alias("b"))))
+    return out.groupBy("word").agg(F.max("n").alias("n"), F.sum("n_near").alias("n_near"), best.alias("x")).select("word", "n", "n_near", (-F.col("x.a")).alias("best_n"), F.col("x.b").alias("best"))
 
 
 def variants(words: DataFrame, ratio: int = RATIO, **bounds: int) -> DataFrame:

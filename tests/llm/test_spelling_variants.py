@@ -2,7 +2,11 @@ import random
 import re
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
+import pyarrow as pa
+
+from docloom.llm import spelling_variants
 from docloom.llm.spelling_variants import OP12_SQL, Trie, neighbours, op12_spelling_variants, variants, words_of
 
 
@@ -59,6 +63,43 @@ def test_trie_of_one_word_and_of_very_long_ones():
     assert list(Trie(sorted([a, b]), [5, 6]).near(a)) in ([(5, b)], [(6, b)])
 
 
+def test_head_and_tail_find_each_neighbour_once():
+    random.seed(3)
+    for letters, many in (("ab", 150), ("abcÿé", 300), ("a", 5)):
+        words = sorted(x.encode("latin-1") for x in some_words(many, letters, 0, 8) if x)
+        ways = Trie(words, [1] * len(words)), Trie(sorted(w[::-1] for w in words), [1] * len(words))
+        for w in [*words, b"", b"abab", b"zz", b"a" * 9]:
+            for head in range(len(w) + 1):
+                tail = [x for _, x in ways[0].near(w, head)]
+                assert all(x.startswith(w[:head]) for x in tail)
+                got = tail + [x for _, y in ways[1].near(w[::-1], len(w) - head) if not (x := y[::-1]).startswith(w[:head])]
+                assert sorted(got) == sorted(x for _, x in ways[0].near(w))
+
+
+def test_words_walk_few_shards_however_many_there_are(monkeypatch):
+    random.seed(4)
+    walked = []
+    near = Trie.near
+    monkeypatch.setattr(Trie, "near", lambda self, *a: walked.append(1) or near(self, *a))
+    for before in ("", "sharedbyallwords" * 6):
+        words = sorted(before + w for w in some_words(3000, "abcdefgh", 9, 9))
+        sides = []
+        for keys in (words, sorted(w[::-1] for w in words)):
+            made = spelling_variants.shards(50, 1 << 20)(iter([pa.RecordBatch.from_arrays([pa.array(keys), pa.array([2] * len(keys))], names=["word", "n"])]))
+            sides.append([tuple(x[c][0].as_py() for c in ("first", "last", "shard")) for x in made])
+        assert min(map(len, sides)) >= 50
+        ends = SimpleNamespace(value=[tuple(sorted(x[c].encode("latin-1") for x in side) for c in (0, 1)) for side in sides])
+        (dealt,) = spelling_variants.dealing(ends)(iter([pa.RecordBatch.from_arrays([pa.array(words), pa.array([2] * len(words))], names=["word", "n"])]))
+        walked.clear()
+        found = Counter()
+        for side, backward in zip(sides, (False, True), strict=True):
+            (out,) = spelling_variants.searched(SimpleNamespace(value=side), backward)(iter([dealt.select(["word", "head"])]))
+            found.update(dict(zip(out["word"].to_pylist(), out["n_near"].to_pylist(), strict=True)))
+        assert len(walked) < 8 * len(words)
+        every = Trie([w.encode() for w in words], [2] * len(words))
+        assert dict(found) == {w: n for w in words if (n := len(list(near(every, w.encode()))))}
+
+
 def test_against_brute_force_in_small_shards(spark):
     random.seed(2)
     words = {w: random.choice([2, 3, 20, 40, 500, 7000]) for w in some_words(400, "abé", 7, 8)}
